@@ -8,6 +8,9 @@ from cairn.plans import _registry
 
 _MODULES = (
     "order_analytics",
+    "flight_analytics",
+    "retail",
+    "relational",
 )
 
 _loaded = False

@@ -28,6 +28,7 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # dynamic partition overwrite only replaces the partitions a run touches
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
