@@ -11,6 +11,8 @@ _MODULES = (
     "flight_analytics",
     "retail",
     "relational",
+    "shaping",
+    "mixed_nested",
 )
 
 _loaded = False
