@@ -13,6 +13,7 @@ _MODULES = (
     "relational",
     "shaping",
     "mixed_nested",
+    "io_sources",
 )
 
 _loaded = False
