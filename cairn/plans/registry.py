@@ -14,6 +14,7 @@ _MODULES = (
     "shaping",
     "mixed_nested",
     "io_sources",
+    "catalog_tables",
 )
 
 _loaded = False
