@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.session import path_exists
 from cairn.sources.files import list_files
 
 MANIFEST_SCHEMA = T.StructType([
@@ -54,10 +55,9 @@ class Bookmark:
 
     # -- state -------------------------------------------------------------
     def _manifest(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.state_path)
-        except Exception:  # no state written yet  # noqa: BLE001
+        if not path_exists(self.spark, self.state_path):  # no state written yet
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.state_path)
 
     def _live(self, source: str) -> DataFrame:
         """Manifest rows of this job/source after its latest reset."""

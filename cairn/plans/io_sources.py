@@ -257,21 +257,17 @@ def convert_to_orc(spark, sf):
 
 
 @query("land_by_date", """
-SELECT o_orderkey, o_orderstatus, 'orders' AS prefix, strftime(o_orderdate, '%Y') AS year,
-       strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%d') AS day FROM orders""")
+SELECT event_id, event_type, 'events' AS prefix, strftime(ts, '%Y') AS year,
+       strftime(ts, '%m') AS month, strftime(ts, '%d') AS day FROM events""")
 def land_by_date_q(spark, sf):
-    """Files of ``raw/orders/`` land under ``prefix=orders/year=/month=/day=``."""
-    o = load(spark, sf, "orders").select(
-        "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+    """Files of ``raw/events/`` land under ``prefix=events/year=/month=/day=``."""
+    e = load(spark, sf, "events").select(
+        "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time"))
     base = scratch(spark, "landing")
-    write_frame(o, f"{base}/raw/orders", "csv")
+    write_frame(e, f"{base}/raw/events", "csv")
     dest = f"{base}/curated"
-    land_by_date(spark, f"{base}/raw", dest, glob="*.csv", ts_col="order_date",
-                 read_options={"inferSchema": "false"})
-    back = spark.read.option("header", True).csv(dest)
-    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus",
-                       F.col("prefix").cast("string").alias("prefix"),
-                       F.lpad(F.col("year").cast("string"), 4, "0").alias("year"),
-                       F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
-                       F.lpad(F.col("day").cast("string"), 2, "0").alias("day"))
-
+    land_by_date(spark, f"{base}/raw", dest, glob="*.csv", ts_col="event_time")
+    schema = ("event_id BIGINT, event_type STRING, event_time STRING, prefix STRING, "
+              "year STRING, month STRING, day STRING")
+    back = spark.read.option("header", True).option("basePath", dest).schema(schema).csv(dest)
+    return back.select("event_id", "event_type", "prefix", "year", "month", "day")

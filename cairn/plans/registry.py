@@ -15,6 +15,7 @@ _MODULES = (
     "mixed_nested",
     "io_sources",
     "catalog_tables",
+    "incremental_jobs",
 )
 
 _loaded = False
