@@ -26,6 +26,8 @@ def read_csv(spark: SparkSession, path: str | list[str], header: bool = True,
     ``mode``: PERMISSIVE (bad fields → NULL, whole line kept in
     ``corrupt_column`` when given), DROPMALFORMED (bad rows dropped) or
     FAILFAST (first bad row raises). ``.csv.gz`` files decompress by suffix.
+    Spark parses only the columns a query reads, so a bad value in a column
+    that is not selected does not make a row malformed.
     """
     r = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
          .option("mode", mode).option("multiLine", multiline))
