@@ -112,3 +112,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, total_cores: int,
+                  target_partition_bytes: int = 256 << 20) -> int:
+    """Size shuffles for an input of ``input_bytes`` on ``total_cores``.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` (never fewer than 3 per core) and let AQE
+    coalesce the small ones and split skewed ones at run time; scan splits
+    use the same target. Returns the partition count it set.
+    """
+    n = max(total_cores * 3, -(-input_bytes // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_partition_bytes, 512 << 20)))
+    return n
