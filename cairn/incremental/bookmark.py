@@ -63,10 +63,9 @@ class Bookmark:
         """Manifest rows of this job/source after its latest reset."""
         m = self._manifest().filter((F.col("job") == self.job) & (F.col("source") == source))
         last_reset = (m.filter(F.col("kind") == "reset")
-                      .agg(F.max("seq").alias("r")))
-        return (m.crossJoin(last_reset)  # one-row side: the last reset marker
-                .filter(F.col("r").isNull() | (F.col("seq") > F.col("r")))
-                .filter(F.col("kind") != "reset").drop("r"))
+                      .agg(F.max("seq").alias("r")).first().r)  # one number
+        live = m.filter(F.col("kind") != "reset")
+        return live if last_reset is None else live.filter(F.col("seq") > F.lit(last_reset))
 
     def state(self) -> DataFrame:
         """What the bookmark holds for this job (after resets)."""

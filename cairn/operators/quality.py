@@ -78,10 +78,12 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for r in rules:
         if r.kind != "unique":
             continue
-        dup = _dup_keys(df, r).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_failed"))
-        total = df.agg(F.count(F.lit(1)).alias("n_checked"))
-        parts.append(total.crossJoin(dup).select(  # two one-row frames
-            "n_checked", F.lit(r.name).alias("rule"), "n_failed"))
+        # one pass: rows per key, then total rows and rows whose key repeats
+        per_key = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(per_key.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("n_checked"),
+            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("n_failed"),
+        ).select("n_checked", F.lit(r.name).alias("rule"), "n_failed"))
     if not parts:
         return spark.createDataFrame([], "rule string, n_checked bigint, n_failed bigint, passed boolean")
     out = parts[0]

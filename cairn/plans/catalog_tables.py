@@ -203,9 +203,9 @@ def drop_header_rows(spark, sf):
     return t.where(F.col("order_date") != "order_date")
 
 
-@query("sql_catalog_scan", """
+@query("scan_catalog_table", """
 SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1""")
-def sql_catalog_scan(spark, sf):
+def scan_catalog_table(spark, sf):
     """``SELECT … FROM db.table`` through the session catalog."""
     path = scratch(spark, "cat", "orders")
     write_frame(load(spark, sf, "orders"), path, "parquet")

@@ -174,3 +174,18 @@ def map_entries(spark, sf):
         "o_orderkey", F.create_map(F.lit("priority"), F.col("o_orderpriority"),
                                    F.lit("status"), F.col("o_orderstatus")).alias("meta"))
     return explode_map(o, "meta")
+
+
+@query("messy_orders_clean", f"""
+SELECT event_id, event_type, {_DOUBLE} AS amount FROM {_ET} e WHERE {_DOUBLE} IS NOT NULL""")
+def messy_orders_clean(spark, sf):
+    """Messy-orders job: text → choice column → cast:double → drop NULL
+    amounts → Parquet, read back from the written folder."""
+    from cairn.session import scratch
+    from cairn.sinks.files import write_frame
+    from cairn.sources.files import read_parquet
+    df = resolve_choice(messy_events(spark, sf).select("event_id", "event_type", "amount"),
+                        specs=[("amount", "cast:double")])
+    path = scratch(spark, "messy_orders")
+    write_frame(df.filter(F.col("amount").isNotNull()), path, "parquet")
+    return read_parquet(spark, path)
