@@ -153,3 +153,15 @@ def with_source_file(df: DataFrame) -> DataFrame:
     (file-source hidden ``_metadata`` column)."""
     return df.select("*", F.col("_metadata.file_path").alias("source_path"),
                      F.col("_metadata.file_modification_time").alias("source_mtime"))
+
+
+def group_files(spark: SparkSession, max_partition_bytes: int | None = None,
+                open_cost_bytes: int | None = None) -> None:
+    """File grouping for scans (``groupFiles`` / ``groupSize``): Spark packs
+    small files into one read task up to ``max_partition_bytes``, counting
+    ``open_cost_bytes`` per file; set a small open cost to spread many tiny
+    files over more tasks, a large one to group them."""
+    if max_partition_bytes is not None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
+    if open_cost_bytes is not None:
+        spark.conf.set("spark.sql.files.openCostInBytes", str(open_cost_bytes))

@@ -101,3 +101,29 @@ def test_unknown_cast_type_is_reported(spark, bad):
     df = spark.createDataFrame([("1",)], "a string").withColumn("a", text_to_choice("a"))
     with pytest.raises(Exception):
         resolve_column(df, "a", bad).collect()
+
+
+def test_one_row_per_key_is_an_aggregate_not_a_window(spark):
+    """dedupe / latest_per_key reduce a hot key map-side (partial aggregate)."""
+    from cairn.plans import registry
+    qs = registry.queries()
+    for n in ["dedupe_by_key", "latest_per_key", "clean_orders"]:
+        plan = qs[n](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan, n
+        assert ("partial_min" in plan) or ("partial_max" in plan), n
+
+
+def test_file_grouping_changes_scan_tasks(spark, tmp):
+    from cairn.sources.files import group_files
+    from cairn.sinks.files import write_frame
+    write_frame(spark.range(0, 20000, 1, 20), f"{tmp}/many", "parquet")
+    old = (spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes"))
+    try:
+        group_files(spark, max_partition_bytes=128 << 20, open_cost_bytes=1)
+        grouped = spark.read.parquet(f"{tmp}/many").rdd.getNumPartitions()
+        group_files(spark, max_partition_bytes=1024, open_cost_bytes=1024)
+        spread = spark.read.parquet(f"{tmp}/many").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert spread > grouped
