@@ -46,21 +46,25 @@ def scd2(history: DataFrame, changes: DataFrame, keys: Sequence[str], attrs: Seq
     present_t = F.col(f"t.{current_col}").isNotNull()
     present_s = F.col("s._staged").isNotNull()
     changed = present_t & present_s & _changed(t, s, attrs)
-    # current versions that stay current (no change or no staged row)
-    keep = j.filter(present_t & ~changed).select(
-        *keys, *[F.col(f"t.{a}").alias(a) for a in attrs],
-        F.col(f"t.{from_col}").alias(from_col), F.col(f"t.{to_col}").alias(to_col),
-        F.col(f"t.{current_col}").alias(current_col))
-    closed = j.filter(changed).select(
-        *keys, *[F.col(f"t.{a}").alias(a) for a in attrs],
-        F.col(f"t.{from_col}").alias(from_col), eff.alias(to_col), F.lit(False).alias(current_col))
-    opened = j.filter(changed | (~present_t & present_s)).select(
-        *keys, *[F.col(f"s.{a}").alias(a) for a in attrs],
-        eff.alias(from_col), F.lit(None).cast(history.schema[to_col].dataType).alias(to_col),
-        F.lit(True).alias(current_col))
+    hist_t = {c: history.schema[c].dataType for c in history.columns}
+
+    def version(src: str, start, end, current) -> "F.Column":
+        return F.struct(*[F.col(f"{src}.{a}").alias(a) for a in attrs],
+                        start.cast(hist_t[from_col]).alias(from_col),
+                        end.cast(hist_t[to_col]).alias(to_col),
+                        current.alias(current_col))
+
+    t_from, t_to = F.col(f"t.{from_col}"), F.col(f"t.{to_col}")
+    # one pass over the join: each joined row emits the versions it yields
+    kept = F.when(present_t & ~changed, version("t", t_from, t_to, F.col(f"t.{current_col}")))
+    closed = F.when(changed, version("t", t_from, eff, F.lit(False)))
+    opened = F.when(changed | (~present_t & present_s),
+                    version("s", eff, F.lit(None), F.lit(True)))
+    current_rows = (j.select(*keys, F.explode(F.array(kept, closed, opened)).alias("_v"))
+                    .filter(F.col("_v").isNotNull())
+                    .select(*keys, "_v.*"))
     cols = history.columns
-    return (old.select(*cols).unionByName(keep.select(*cols)).unionByName(closed.select(*cols))
-            .unionByName(opened.select(*cols)))
+    return old.select(*cols).unionByName(current_rows.select(*cols))
 
 
 def scd3(target: DataFrame, changes: DataFrame, keys: Sequence[str], attr: str,
