@@ -29,6 +29,18 @@ class MappedFrame:
     frame: DataFrame
     errors: DataFrame
     stage: str
+    combined: DataFrame | None = None
+
+    def materialize(self, path: str) -> "MappedFrame":
+        """Run the Python function once: write good and bad rows together to
+        ``path`` (a shared folder) and derive both frames from the written
+        table — otherwise using both sides evaluates the function twice."""
+        if self.combined is None:
+            return self
+        self.combined.write.mode("overwrite").parquet(path)
+        both = self.combined.sparkSession.read.parquet(path)
+        names = [c for c in both.columns if c != ERR_COL]
+        return _split_errors(both, names, self.stage)
 
     def errors_count(self) -> int:
         return self.errors.count()
@@ -113,7 +125,7 @@ def _split_errors(both: DataFrame, names: list[str], stage: str) -> MappedFrame:
         F.lit(stage).alias("stage"),
         F.get_json_object(ERR_COL, "$.message").alias("message"),
         F.get_json_object(ERR_COL, "$.record").alias("record"))
-    return MappedFrame(good, err, stage)
+    return MappedFrame(good, err, stage, both)
 
 
 def spigot(df: DataFrame, path: str, fraction: float | None = None, top: int | None = None,

@@ -155,7 +155,8 @@ def scan_prefix_growth(spark, sf):
     t = create_external_table(spark, f"{db}.orders", "parquet", path, schema=o.schema)
     before = (t.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("phase", F.lit("before")))
-    before = spark.createDataFrame(before.collect(), before.schema)  # state at this moment
+    # state at this moment: one row per status value
+    before = spark.createDataFrame(before.collect(), before.schema)
     write_frame(o.filter("o_orderstatus <> 'F'"), path, "parquet", mode="append")
     refresh(spark, f"{db}.orders")
     after = (spark.table(f"{db}.orders").groupBy("o_orderstatus")

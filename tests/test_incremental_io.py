@@ -148,3 +148,44 @@ def test_ingestion_time_format(spark):
     v = spark.range(1).select(ingestion_time().alias("t")).first().t
     assert len(v) == 19 and v[4] == "-" and v[13] == ":"
     assert spark.range(1).select(ingestion_time("2024-01-01 00:00:00").alias("t")).first().t == "2024-01-01 00:00:00"
+
+
+def test_error_set_materialized_once(spark, tmp):
+    from cairn.operators.rowfn import map_rows
+    df = spark.createDataFrame([("1",), ("x",), ("3",)], "v string")
+    m = map_rows(df, lambda r: {"v": int(r["v"])}, "v int").materialize(f"{tmp}/mapped")
+    assert sorted(r.v for r in m.frame.collect()) == [1, 3]
+    assert m.errors.count() == 1 and "ValueError" in m.errors.first().message
+
+
+def test_stream_restart_reads_only_new_files(spark, tmp):
+    """The checkpoint in the shared folder makes a restarted stream resume:
+    files already processed are not read again."""
+    from cairn.streaming.etl import run_stream_to_files, stream_files
+    schema = "order_id bigint, amount double"
+    _month(spark, f"{tmp}/in/jan", 0, 50)
+    s = stream_files(spark, f"{tmp}/in", "parquet", spark.read.parquet(f"{tmp}/in/jan").schema,
+                     recursiveFileLookup="true")
+    run_stream_to_files(s, lambda d: d, f"{tmp}/out", f"{tmp}/ckpt")
+    _month(spark, f"{tmp}/in/feb", 50, 30)
+    s2 = stream_files(spark, f"{tmp}/in", "parquet", spark.read.parquet(f"{tmp}/in/jan").schema,
+                      recursiveFileLookup="true")
+    run_stream_to_files(s2, lambda d: d, f"{tmp}/out", f"{tmp}/ckpt")
+    out = spark.read.parquet(f"{tmp}/out")
+    assert out.count() == 80 and out.select("order_id").distinct().count() == 80
+    del schema
+
+
+def test_catalog_sink_adds_partitions_and_follows_schema(spark, tmp):
+    from cairn.sources.catalog import catalog_sink
+    db = unique_name("cs")
+    create_database(spark, db)
+    t = f"{db}.plans"
+    a = spark.range(10).select("id", (F.col("id") % 2).alias("p"))
+    catalog_sink(a, t, f"{tmp}/out", partition_by=["p"])
+    b = spark.range(10, 15).select("id", F.lit(7).cast("bigint").alias("p"))
+    catalog_sink(b, t, f"{tmp}/out", partition_by=["p"])
+    assert spark.table(t).count() == 15 and show_partitions(spark, t).count() == 3
+    c = spark.range(15, 17).select("id", F.lit("x").alias("extra"), F.lit(7).cast("bigint").alias("p"))
+    catalog_sink(c, t, f"{tmp}/out2", partition_by=["p"])
+    assert "extra" in spark.table(t).columns
