@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.plans._registry import query
-from cairn.plans.standins import events_text
+from cairn.plans.standins import SQL_DOC_ITEMS, SQL_DOCS, events_text
 from cairn.session import load, scratch
 from cairn.sinks.files import convert_format, land_by_date, write_frame
 from cairn.sources.files import (Source, audit_empty_files, read_csv, read_json, read_orc,
@@ -113,21 +113,19 @@ def scan_csv_quoted(spark, sf):
                                         "address STRING, amount DOUBLE")
 
 
-@query("scan_json_nested", """
-SELECT o_orderkey AS order_id, c_name AS customer_name, n_items, first_product
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n_items,
-                  arg_min(l_partkey, struct_pack(a := l_linenumber, b := l_partkey,
-                          c := l_quantity, d := l_extendedprice)) AS first_product
-           FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""")
+@query("scan_json_nested", f"""
+SELECT d.doc_id, order_id, c_name AS customer_name, n_items, first_product
+FROM {SQL_DOCS} d LEFT JOIN (SELECT id, COUNT(*) AS n_items,
+        MAX(CASE WHEN "index" = 0 THEN "items.product" END) AS first_product
+     FROM {SQL_DOC_ITEMS} GROUP BY id) i ON d.doc_id = i.id""")
 def scan_json_nested(spark, sf):
     """JSON lines with a struct and an array of structs, read back."""
     from cairn.plans.standins import nested_orders
     path = scratch(spark, "json", "orders")
-    write_frame(nested_orders(spark, sf), path, "json")
-    schema = nested_orders(spark, sf).schema
-    df = read_json(spark, path, schema=schema)
-    return df.select("order_id", F.col("customer.name").alias("customer_name"),
+    docs = nested_orders(spark, sf)
+    write_frame(docs, path, "json")
+    df = read_json(spark, path, schema=docs.schema)
+    return df.select("doc_id", "order_id", F.col("customer.name").alias("customer_name"),
                      F.size("items").alias("n_items"),
                      F.col("items")[0]["product"].alias("first_product"))
 

@@ -9,7 +9,8 @@ from cairn.operators.choice import choice_profile, resolve_choice, resolve_colum
 from cairn.operators.nested import (explode_array, explode_map, relationalize, unbox,
                                     unnest_ddb_json)
 from cairn.plans._registry import query
-from cairn.plans.standins import SQL_EVENTS_TEXT, events_text, nested_orders
+from cairn.plans.standins import (SQL_DOC_ITEMS, SQL_DOCS, SQL_EVENTS_TEXT, events_text,
+                                  nested_orders)
 from cairn.session import load
 
 
@@ -88,35 +89,25 @@ def resolve_mixed_specs(spark, sf):
                           choice="project:double")
 
 
-_ITEMS_SQL = """(SELECT l_orderkey AS id,
-   CAST(row_number() OVER (PARTITION BY l_orderkey
-        ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS INTEGER) AS "index",
-   l_linenumber AS "items.line", l_partkey AS "items.product",
-   l_quantity AS "items.quantity", l_extendedprice AS "items.price"
- FROM lineitem)"""
-
-
-@query("relationalize_root", """
-SELECT o_orderkey AS order_id, c_name AS "customer.name", c_mktsegment AS "customer.segment",
-       o_totalprice AS total,
-       CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN o_orderkey END AS items
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+@query("relationalize_root", f"""
+SELECT doc_id, order_id, part, c_name AS "customer.name", c_mktsegment AS "customer.segment",
+       total, CASE WHEN has_items THEN doc_id END AS items
+FROM {SQL_DOCS} d""")
 def relationalize_root(spark, sf):
-    return relationalize(nested_orders(spark, sf), "orders", key="order_id")["orders"]
+    return relationalize(nested_orders(spark, sf), "orders", key="doc_id")["orders"]
 
 
-@query("relationalize_items", f"SELECT * FROM {_ITEMS_SQL}")
+@query("relationalize_items", f"SELECT * FROM {SQL_DOC_ITEMS} i")
 def relationalize_items(spark, sf):
-    return relationalize(nested_orders(spark, sf), "orders", key="order_id")["orders_items"]
+    return relationalize(nested_orders(spark, sf), "orders", key="doc_id")["orders_items"]
 
 
 @query("relationalize_roundtrip", f"""
-SELECT o_orderkey AS order_id, c_name AS "customer.name", i."index", i."items.product"
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-JOIN {_ITEMS_SQL} i ON o_orderkey = i.id""")
+SELECT order_id, c_name AS "customer.name", i."index", i."items.product"
+FROM {SQL_DOCS} d JOIN {SQL_DOC_ITEMS} i ON d.doc_id = i.id""")
 def relationalize_roundtrip(spark, sf):
     """Joining the child back on the join id restores the nesting."""
-    t = relationalize(nested_orders(spark, sf), "orders", key="order_id")
+    t = relationalize(nested_orders(spark, sf), "orders", key="doc_id")
     root, items = t["orders"], t["orders_items"]
     return root.join(items, root["items"] == items["id"]).select(
         "order_id", "`customer.name`", "index", "`items.product`")

@@ -12,7 +12,7 @@ from cairn.operators.rows import dedupe, split_rows
 from cairn.operators.shape import (drop_fields, filter_rows, rename_field, select_fields,
                                    split_fields, with_frame_schema)
 from cairn.plans._registry import query
-from cairn.plans.standins import nested_orders
+from cairn.plans.standins import SQL_DOCS, nested_orders
 from cairn.session import load
 
 # A fixed run timestamp stands in for "now" so reruns are reproducible; a
@@ -305,9 +305,8 @@ def error_rows(spark, sf):
 
 
 @query("unnest_structs", """
-SELECT o_orderkey AS order_id, c_name AS "customer.name", c_mktsegment AS "customer.segment",
-       o_totalprice AS total
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+SELECT doc_id, order_id, part, c_name AS "customer.name", c_mktsegment AS "customer.segment", total
+FROM DOCS d""".replace("DOCS", SQL_DOCS))
 def unnest_structs(spark, sf):
     from cairn.operators.nested import flatten_struct_columns
     return flatten_struct_columns(nested_orders(spark, sf).drop("items"))

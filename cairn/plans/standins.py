@@ -73,14 +73,33 @@ SQL_EVENTS_TEXT = """(SELECT event_id, ts, user_id, event_type,
          ELSE CAST(value AS VARCHAR) END AS amount, props FROM events)"""
 
 
+# An order document holds at most about this many items; an
+# order with more lines is split over several documents.
+MAX_ITEMS_PER_DOC = 1000
+
+
+def _doc_part(n_lines):
+    """Document number of a line within its order: spread by part key and
+    line number over ceil(n / MAX_ITEMS_PER_DOC) documents."""
+    parts = F.ceil(n_lines / F.lit(float(MAX_ITEMS_PER_DOC)))
+    return F.pmod(F.col("l_partkey") * 31 + F.col("l_linenumber"), parts)
+
+
 def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as documents: customer struct + items array of structs.
 
-    The items array holds the lines of one order, sorted by every field so the
-    array (and thus each item's index) is deterministic.
+    Items are grouped per (order, part) with ``part`` from ``_doc_part``, so a
+    document's array stays near ``MAX_ITEMS_PER_DOC`` entries even for an
+    order that holds a large share of all lines (no unbounded group in one
+    task). The per-order line count is a partial aggregate; joining it back
+    is a key join AQE splits when a key is hot. Arrays are sorted by every
+    field, so each item's index is deterministic.
     """
-    li = load(spark, sf, "lineitem")
-    items = (li.groupBy("l_orderkey")
+    li = load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    li = li.join(counts, "l_orderkey").withColumn("part", _doc_part(F.col("n_lines")))
+    items = (li.groupBy("l_orderkey", "part")
              .agg(F.array_sort(F.collect_list(F.struct(
                  F.col("l_linenumber").alias("line"),
                  F.col("l_partkey").alias("product"),
@@ -89,10 +108,32 @@ def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
              ))).alias("items")))
     o = load(spark, sf, "orders")
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    part = F.coalesce(F.col("part"), F.lit(0)).cast("bigint")
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
             .join(items, o.o_orderkey == items.l_orderkey, "left")
-            .select(F.col("o_orderkey").alias("order_id"),
+            .select(F.concat_ws("/", F.col("o_orderkey").cast("string"), part.cast("string")).alias("doc_id"),
+                    F.col("o_orderkey").alias("order_id"), part.alias("part"),
                     F.struct(F.col("c_name").alias("name"),
                              F.col("c_mktsegment").alias("segment")).alias("customer"),
                     F.col("o_totalprice").alias("total"),
                     "items"))
+
+
+# The same documents in DuckDB SQL: line rows with their document number.
+SQL_DOC_LINES = f"""(SELECT l.*, CAST((l_partkey * 31 + l_linenumber)
+      % CAST(ceil(n_lines / {float(MAX_ITEMS_PER_DOC)}) AS BIGINT) AS BIGINT) AS part
+   FROM lineitem l JOIN (SELECT l_orderkey AS k, COUNT(*) AS n_lines FROM lineitem GROUP BY 1) c
+     ON l.l_orderkey = c.k)"""
+
+SQL_DOCS = f"""(SELECT CAST(o_orderkey AS VARCHAR) || '/' || CAST(COALESCE(d.part, 0) AS VARCHAR) AS doc_id,
+       o_orderkey AS order_id, CAST(COALESCE(d.part, 0) AS BIGINT) AS part, c_name, c_mktsegment,
+       o_totalprice AS total, d.l_orderkey IS NOT NULL AS has_items
+   FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+   LEFT JOIN (SELECT DISTINCT l_orderkey, part FROM {SQL_DOC_LINES}) d ON o_orderkey = d.l_orderkey)"""
+
+SQL_DOC_ITEMS = f"""(SELECT CAST(l_orderkey AS VARCHAR) || '/' || CAST(part AS VARCHAR) AS id,
+   CAST(row_number() OVER (PARTITION BY l_orderkey, part
+        ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS INTEGER) AS "index",
+   l_linenumber AS "items.line", l_partkey AS "items.product",
+   l_quantity AS "items.quantity", l_extendedprice AS "items.price"
+ FROM {SQL_DOC_LINES})"""

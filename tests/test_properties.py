@@ -127,3 +127,15 @@ def test_file_grouping_changes_scan_tasks(spark, tmp):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
         spark.conf.set("spark.sql.files.openCostInBytes", old[1])
     assert spread > grouped
+
+
+def test_hot_order_is_split_into_bounded_documents(spark):
+    """An order holding many lines becomes several documents of ≤ ~1000 items."""
+    from cairn.plans.standins import MAX_ITEMS_PER_DOC, _doc_part
+    lines = spark.range(3500).select(F.lit(1).alias("l_orderkey"), F.col("id").alias("l_partkey"),
+                                     (F.col("id") % 7 + 1).alias("l_linenumber"))
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    parts = (lines.join(counts, "l_orderkey").withColumn("part", _doc_part(F.col("n_lines")))
+             .groupBy("part").count().collect())
+    assert len(parts) == 4
+    assert max(r["count"] for r in parts) <= MAX_ITEMS_PER_DOC
