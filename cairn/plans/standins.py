@@ -91,15 +91,18 @@ def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     Items are grouped per (order, part) with ``part`` from ``_doc_part``, so a
     document's array stays near ``MAX_ITEMS_PER_DOC`` entries even for an
     order that holds a large share of all lines (no unbounded group in one
-    task). The per-order line count is a partial aggregate; joining it back
-    is a key join AQE splits when a key is hot. Arrays are sorted by every
-    field, so each item's index is deterministic.
+    task, and a hot order's documents spread over many tasks). The per-order
+    line count is a partial aggregate. Arrays are sorted by every field, so
+    each item's index is deterministic.
     """
     li = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     li = li.join(counts, "l_orderkey").withColumn("part", _doc_part(F.col("n_lines")))
-    items = (li.groupBy("l_orderkey", "part")
+    # cluster on (order, part), not on the order alone: a hot order's
+    # documents spread over many tasks, and AQE may split the skewed join
+    # above because an exchange follows it
+    items = (li.repartition("l_orderkey", "part").groupBy("l_orderkey", "part")
              .agg(F.array_sort(F.collect_list(F.struct(
                  F.col("l_linenumber").alias("line"),
                  F.col("l_partkey").alias("product"),
