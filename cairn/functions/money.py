@@ -8,6 +8,8 @@ returned as DOUBLE, like the reference's ``round(sum(x), 2)``.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,22 @@ def cents(col) -> Column:
     return F.round(_c(col) * 100).cast("decimal(38,0)")
 
 
+def cents_bigint(col) -> Column:
+    """Two-decimal amount → exact cents as BIGINT.
+
+    For partial sums over many rows: a BIGINT sum buffer is fixed-width and
+    stays in the fast hash-aggregate path (a DECIMAL(38) one is not). Use it
+    only where |amount| × rows per group provably stays below 9.2e16 (e.g.
+    line quantities of at most a few thousand, over any number of lines).
+    """
+    return F.round(_c(col) * 100).cast("bigint")
+
+
+def from_cents(col) -> Column:
+    """Exact DECIMAL(38,2) from a cents count."""
+    return _c(col).cast("decimal(38,0)") * F.lit(Decimal("0.01"))
+
+
 def sum_2dp(col) -> Column:
     """``round(sum(col), 2)`` computed exactly in DECIMAL and returned as DOUBLE."""
     return F.round(F.sum(_c(col).cast("decimal(38,4)")), 2).cast("double")

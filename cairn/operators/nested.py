@@ -44,19 +44,24 @@ def with_dense_id(df: DataFrame, name: str = "id") -> DataFrame:
     partitioning is fixed and both passes see the same rows; then a per-task
     row count (one small row per partition) gives each partition its offset,
     and ``monotonically_increasing_id`` supplies the position inside it.
+    The offsets are a frame of one row per partition, joined by partition id
+    (broadcast: its size is bounded by the partition count, not the data).
     """
     fixed = cut_lineage(df)
     pid = F.spark_partition_id()
     counts = (fixed.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n"))
               .orderBy("pid").collect())  # one row per partition
-    offsets, acc = {}, 0
+    rows, acc = [], 0
     for r in counts:
-        offsets[r.pid] = acc
+        rows.append((r.pid, acc))
         acc += r.n
-    off_map = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))]) \
-        if offsets else F.create_map()
+    offsets = fixed.sparkSession.createDataFrame(rows, "__pid INT, __off BIGINT")
     local = F.monotonically_increasing_id() - (pid.cast("bigint") * F.lit(1 << 33))
-    return fixed.withColumn(name, (F.element_at(off_map, pid) + local + 1).cast("bigint"))
+    # pid and position are taken on the checkpointed scan, before the join
+    tagged = fixed.withColumn("__pid", pid).withColumn("__pos", local)
+    return (tagged.join(F.broadcast(offsets), "__pid")
+            .withColumn(name, (F.col("__off") + F.col("__pos") + 1).cast("bigint"))
+            .drop("__pid", "__off", "__pos"))
 
 
 def relationalize(df: DataFrame, name: str, key: str | None = None,

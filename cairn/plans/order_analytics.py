@@ -12,15 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.money import sql_sum_2dp
+from cairn.functions.money import cents_bigint, from_cents, sql_sum_2dp
 from cairn.plans._registry import query
 from cairn.session import load
 
 
 def _qty_by_part(spark: SparkSession, sf: str) -> DataFrame:
+    # quantities are summed as BIGINT cents (≤ 5,000 per line: no overflow
+    # for any number of lines) and made exact decimals once per part
     li = load(spark, sf, "lineitem")
     return (li.groupBy("l_partkey")
-            .agg(F.sum(F.col("l_quantity").cast("decimal(38,2)")).alias("qty"),
+            .agg(from_cents(F.sum(cents_bigint("l_quantity"))).alias("qty"),
                  F.count("l_orderkey").alias("n_lines")))
 
 

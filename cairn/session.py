@@ -57,8 +57,30 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """One driver table; column pruning and filters reach the parquet scan.
+
+    The table schema is looked up once per session (as a metastore would hold
+    it) instead of running a footer-reading job on every read; the key
+    includes the path's modification time and size, so a rewritten table is
+    inspected again. The file listing itself is fresh on every call.
+    """
+    path = table_path(sf_dir, name)
+    key = (id(spark), path, *_path_stamp(spark, path))
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
+
+
+_SCHEMAS: dict[tuple, object] = {}
+
+
+def _path_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(modification time, length) of a file or folder (one metadata call)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)  # noqa: SLF001
+    return st.getModificationTime(), st.getLen()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
