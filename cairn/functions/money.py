@@ -39,6 +39,29 @@ def from_cents(col) -> Column:
     return _c(col).cast("decimal(38,0)") * F.lit(Decimal("0.01"))
 
 
+# Exact integer sums in fixed-width buffers. A BIGINT value v is split into
+# hi = v >> LIMB_BITS and lo = v & (2^LIMB_BITS - 1) (so v = hi·2^LIMB_BITS + lo,
+# 0 <= lo < 2^LIMB_BITS); both are summed as BIGINT -- the fast hash-aggregate
+# path, combined map-side -- and put back together once per group as
+# DECIMAL(38,0). Neither sum overflows for up to 2^43 rows per group with
+# |v| < 2^40 (e.g. amounts below ten billion in cents), where a plain BIGINT
+# sum could, and a DECIMAL(38) buffer would leave the fast path.
+LIMB_BITS = 20
+
+
+def exact_sum(units) -> Column:
+    """Exact DECIMAL(38,0) ``sum`` of a BIGINT column (see ``LIMB_BITS``)."""
+    v = _c(units).cast("bigint")
+    hi = F.sum(F.shiftright(v, LIMB_BITS))
+    lo = F.sum(v.bitwiseAND(F.lit((1 << LIMB_BITS) - 1)))
+    return hi.cast("decimal(38,0)") * F.lit(1 << LIMB_BITS) + lo
+
+
+def sum_cents_2dp(col) -> Column:
+    """``round(sum(col), 2)`` of a two-decimal amount, exact, as DOUBLE."""
+    return (exact_sum(cents_bigint(col)) * F.lit(Decimal("0.01"))).cast("double")
+
+
 def sum_2dp(col) -> Column:
     """``round(sum(col), 2)`` computed exactly in DECIMAL and returned as DOUBLE."""
     return F.round(F.sum(_c(col).cast("decimal(38,4)")), 2).cast("double")
@@ -50,7 +73,7 @@ def avg_2dp(col) -> Column:
     avg*100 rounded half-up = floor((2*S + n) / (2*n)) with S the sum in cents
     and n the non-null count; integral division keeps it exact at any size.
     """
-    s = F.sum(cents(col))
+    s = exact_sum(cents_bigint(col))
     n = F.count(_c(col)).cast("decimal(38,0)")
     return F.when(n > 0, _idiv(s * 2 + n, n * 2).cast("double") / F.lit(100.0))
 

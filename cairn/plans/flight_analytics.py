@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.money import (avg_2dp, avg_from_parts, cents, pct_2dp,
+from cairn.functions.money import (avg_2dp, avg_from_parts, cents_bigint, exact_sum, pct_2dp,
                                    sql_avg_2dp, sql_pct_2dp)
 from cairn.plans._registry import query
 from cairn.plans.standins import SQL_FLIGHTS, flights
@@ -61,13 +61,13 @@ def top_routes(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
     oc = o.join(c, o.o_custkey == c.c_custkey).select(
-        "o_orderkey", "c_nationkey", cents("o_totalprice").alias("delay_cents"))
+        "o_orderkey", "c_nationkey", cents_bigint("o_totalprice").alias("delay_cents"))
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
     su = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     pairs = (li.join(oc, li.l_orderkey == oc.o_orderkey)
              .join(su, F.col("l_suppkey") == su.s_suppkey)
              .groupBy("s_nationkey", "c_nationkey")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("delay_cents").alias("delay_cents")))
+             .agg(F.count(F.lit(1)).alias("n"), exact_sum("delay_cents").alias("delay_cents")))
     nat = load(spark, sf, "nation").select("n_nationkey", "n_name")
     sn = nat.select(F.col("n_nationkey").alias("sk"), F.col("n_name").alias("origin"))
     cn = nat.select(F.col("n_nationkey").alias("ck"), F.col("n_name").alias("destination"))

@@ -4,9 +4,12 @@ idempotent re-runs, medallion layers, multi-day backfill."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.functions.money import cents_bigint, exact_sum, sum_cents_2dp
 from cairn.incremental.bookmark import Bookmark
 from cairn.operators import quality as Q
 from cairn.operators.scd import scd1, scd2, scd3
@@ -362,12 +365,17 @@ def medallion_gold(spark, sf):
     write_frame(s_li, f"{base}/silver/lineitem", "parquet")
     write_frame(s_o, f"{base}/silver/orders", "parquet")
     sl, so = read_parquet(spark, f"{base}/silver/lineitem"), read_parquet(spark, f"{base}/silver/orders")
-    gold = (sl.join(so, sl.l_orderkey == so.o_orderkey)
+    # net revenue per order first (exact units of 1/10,000, map-side partial
+    # sums), so the join and the distinct count see one row per order line
+    # group instead of every line; summing per-order values over the joined
+    # rows gives the same total as summing the lines
+    units = cents_bigint("l_extendedprice") * (F.lit(100) - cents_bigint("l_discount"))
+    per_order = sl.groupBy("l_orderkey").agg(exact_sum(units).alias("net_units"))
+    gold = (per_order.join(so, per_order.l_orderkey == so.o_orderkey)
             .groupBy(F.col("o_orderstatus").alias("status"),
                      F.year("o_orderdate").alias("order_year"))
             .agg(F.count_distinct("o_orderkey").alias("n_orders"),
-                 F.sum(F.col("l_extendedprice").cast("decimal(38,2)")
-                       * (1 - F.col("l_discount").cast("decimal(38,2)"))).cast("double")
+                 (F.sum("net_units") * F.lit(Decimal("0.0001"))).cast("double")
                  .alias("net_revenue")))
     write_frame(gold, f"{base}/gold/revenue", "parquet")
     return read_parquet(spark, f"{base}/gold/revenue")
@@ -384,7 +392,7 @@ def backfill_days(spark, sf):
     e = load(spark, sf, "events")
     daily = (e.groupBy(F.col("ts").cast("date").alias("event_date"), "event_type")
              .agg(F.count(F.lit(1)).alias("n_events"),
-                  F.sum(F.col("value").cast("decimal(38,2)")).cast("double").alias("total_value")))
+                  sum_cents_2dp("value").alias("total_value")))
     path = scratch(spark, "backfill")
     write_frame(daily, path, "parquet", partition_by=["event_date"])
     return read_parquet(spark, path).select(

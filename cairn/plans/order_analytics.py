@@ -9,10 +9,12 @@ uses a sort-merge join with skew splitting.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.money import cents_bigint, from_cents, sql_sum_2dp
+from cairn.functions.money import cents_bigint, exact_sum, from_cents, sql_sum_2dp
 from cairn.plans._registry import query
 from cairn.session import load
 
@@ -76,14 +78,16 @@ def daily_order_trends(spark: SparkSession, sf: str) -> DataFrame:
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     pa = load(spark, sf, "part").select("p_partkey", "p_retailprice")
     # revenue per order first: the orders join then sees one row per order
+    # line revenue in exact units of 1/10,000 (cents × cents, BIGINT)
+    units = cents_bigint("l_quantity") * cents_bigint("p_retailprice")
     per_order = (li.join(pa, li.l_partkey == pa.p_partkey)
                  .groupBy("l_orderkey")
                  .agg(F.count("l_orderkey").alias("n_lines"),
-                      F.sum(_line_revenue(F.col("l_quantity").cast("decimal(18,2)"),
-                                          "p_retailprice")).alias("rev")))
+                      exact_sum(units).alias("rev_units")))
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
             .groupBy(F.col("o_orderdate").cast("date").alias("order_date"))
             .agg(F.sum("n_lines").alias("num_orders"),
-                 F.round(F.sum("rev"), 2).cast("double").alias("daily_revenue"))
+                 F.round(F.sum("rev_units") * F.lit(Decimal("0.0001")), 2)
+                 .cast("double").alias("daily_revenue"))
             .orderBy("order_date"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions.money import sum_cents_2dp
 from cairn.plans._registry import query
 from cairn.session import load
 
@@ -93,8 +94,7 @@ def order_totals_df(spark: SparkSession, sf: str) -> DataFrame:
     o, oi = retail_orders(spark, sf), retail_items(spark, sf)
     cond = [o.order_id == oi.order_item_order_id]
     return (o.join(oi, cond, "inner").groupBy(o.order_id)
-            .agg(F.sum(oi.order_item_subtotal.cast("decimal(38,2)"))
-                 .cast("double").alias("total_sales"))
+            .agg(sum_cents_2dp(oi.order_item_subtotal).alias("total_sales"))
             .orderBy(F.desc("total_sales"), "order_id"))
 
 
