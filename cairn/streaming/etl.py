@@ -26,8 +26,14 @@ def stream_files(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
 def run_stream_to_files(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
                         out_path: str, checkpoint: str, fmt: str = "parquet",
                         partition_by: list[str] | None = None,
-                        timeout_s: int = 600) -> str:
-    """Run ``transform`` over everything available now, append to ``out_path``."""
+                        timeout_s: int | None = None) -> str:
+    """Run ``transform`` over everything available now, append to ``out_path``.
+
+    Waits until the ``availableNow`` run has processed all input and stopped.
+    With ``timeout_s``, a run still going after that long is stopped and a
+    ``TimeoutError`` raised (never a silent partial result); a later call with
+    the same checkpoint resumes after the last committed micro-batch.
+    """
     w = (transform(stream).writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_path)
          .trigger(availableNow=True))
@@ -35,12 +41,15 @@ def run_stream_to_files(stream: DataFrame, transform: Callable[[DataFrame], Data
         w = w.partitionBy(*partition_by)
     q = w.start()
     try:
-        q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if timeout_s and not finished:
+        raise TimeoutError(f"stream to {out_path} still running after {timeout_s}s; "
+                           "re-run to resume from its checkpoint")
     return out_path
 
 

@@ -4,6 +4,7 @@ side effects, sinks and streaming."""
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairn.incremental.bookmark import Bookmark
@@ -176,6 +177,38 @@ def test_stream_restart_reads_only_new_files(spark, tmp):
     del schema
 
 
+def test_stream_timeout_raises_and_rerun_completes(spark, tmp):
+    """A run that outlives its timeout raises instead of returning part of
+    the output; the next run resumes from the checkpoint, exactly once."""
+    import time
+
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+    from cairn.streaming.etl import run_stream_to_files, stream_files
+
+    @pandas_udf("bigint")
+    def slow(v: pd.Series) -> pd.Series:
+        time.sleep(1.5)
+        return v
+
+    for i in range(4):
+        _month(spark, f"{tmp}/in/m{i}", i * 10, 10)
+    schema = spark.read.parquet(f"{tmp}/in/m0").schema
+
+    def transform(d):
+        return d.withColumn("order_id", slow("order_id"))
+
+    s = stream_files(spark, f"{tmp}/in", "parquet", schema, max_files_per_trigger=1,
+                     recursiveFileLookup="true")
+    with pytest.raises(TimeoutError):
+        run_stream_to_files(s, transform, f"{tmp}/out", f"{tmp}/ckpt", timeout_s=1)
+    s2 = stream_files(spark, f"{tmp}/in", "parquet", schema, max_files_per_trigger=1,
+                      recursiveFileLookup="true")
+    run_stream_to_files(s2, transform, f"{tmp}/out", f"{tmp}/ckpt")
+    out = spark.read.parquet(f"{tmp}/out")
+    assert out.count() == 40 and out.select("order_id").distinct().count() == 40
+
+
 def test_catalog_sink_adds_partitions_and_follows_schema(spark, tmp):
     from cairn.sources.catalog import catalog_sink
     db = unique_name("cs")
