@@ -95,20 +95,24 @@ class Bookmark:
         seen = self._live(source).select("path", "mtime", "length")
         return listing.join(seen, ["path", "mtime", "length"], "left_anti")
 
-    def read_new(self, source: str, fmt: str, schema: T.StructType | str,
-                 glob: str | None = None, **options) -> DataFrame:
-        """Rows of the unseen files (an empty frame with ``schema`` when none).
-        Remember to ``commit()`` after the sink succeeded."""
-        delta = self.new_files(source, glob)
-        # the new-file list (bounded by the number of new files) is what the
-        # reader needs; it is also exactly what a commit records
-        files = delta.orderBy("path").collect()
-        paths = [r.path for r in files]
+    def new_paths(self, source: str, glob: str | None = None) -> list[str]:
+        """Paths of the unseen files; they are staged for the next ``commit()``.
+
+        The new-file list (bounded by the number of new files, metadata only)
+        is what a reader needs; it is also exactly what a commit records."""
+        files = self.new_files(source, glob).orderBy("path").collect()
         if self.mode == "enable" and files:
             seq = _seq()
             self._pending.append(self.spark.createDataFrame(
                 [(self.job, source, "file", r.path, r.mtime, r.length, None, self.run_id, seq)
                  for r in files], MANIFEST_SCHEMA))
+        return [r.path for r in files]
+
+    def read_new(self, source: str, fmt: str, schema: T.StructType | str,
+                 glob: str | None = None, **options) -> DataFrame:
+        """Rows of the unseen files (an empty frame with ``schema`` when none).
+        Remember to ``commit()`` after the sink succeeded."""
+        paths = self.new_paths(source, glob)
         if not paths:
             return self.spark.createDataFrame([], schema)
         r = self.spark.read.format(fmt).schema(schema)

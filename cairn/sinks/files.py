@@ -70,12 +70,17 @@ def insert_into_table(df: DataFrame, table: str, overwrite: bool = False) -> Non
 
 def land_by_date(spark: SparkSession, src: str, dest: str, fmt: str = "csv",
                  glob: str | None = None, ts_col: str | None = None,
-                 read_options: dict | None = None, out_fmt: str = "csv") -> str:
-    """New files under ``src`` land under ``dest/prefix=…/year=YYYY/month=MM/day=DD/``.
+                 read_options: dict | None = None, out_fmt: str = "csv",
+                 bookmark=None) -> str:
+    """Files under ``src`` land under ``dest/prefix=…/year=YYYY/month=MM/day=DD/``.
 
     The date is the record's ``ts_col`` when given, else the file's
     modification time (its arrival). ``prefix`` is the file's parent folder
-    name (``raw/orders/orders.csv`` → ``orders``).
+    name (``raw/orders/orders.csv`` → ``orders``). Without ``bookmark`` every
+    file under ``src`` is landed (appended) on each call; with an enabled
+    ``incremental.bookmark.Bookmark`` only files it has not committed are
+    read, and the bookmark is committed after the write, so repeated runs
+    land each file once.
     """
     r = spark.read.format(fmt).option("recursiveFileLookup", True)
     if glob:
@@ -84,14 +89,24 @@ def land_by_date(spark: SparkSession, src: str, dest: str, fmt: str = "csv",
     opts.update(read_options or {})
     for k, v in opts.items():
         r = r.option(k, v)
-    df = r.load(src)
+    if bookmark is not None:
+        paths = bookmark.new_paths(src, glob)
+        if not paths:
+            bookmark.commit()
+            return dest
+        df = r.load(paths)
+    else:
+        df = r.load(src)
     path = F.col("_metadata.file_path")
     when = F.col(ts_col) if ts_col else F.col("_metadata.file_modification_time")
     landed = df.select("*",
                        F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("prefix"),
                        *date_folders(when))
-    return write_frame(landed, dest, out_fmt, mode="append",
-                       partition_by=["prefix", "year", "month", "day"])
+    write_frame(landed, dest, out_fmt, mode="append",
+                partition_by=["prefix", "year", "month", "day"])
+    if bookmark is not None:
+        bookmark.commit()
+    return dest
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",

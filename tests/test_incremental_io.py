@@ -70,6 +70,28 @@ def test_landing_paths(spark, tmp):
                                       "month=04", "day=22"))
 
 
+def test_landing_with_bookmark_lands_each_file_once(spark, tmp):
+    raw = _local(f"{tmp}/raw/orders")
+    os.makedirs(raw, exist_ok=True)
+
+    def put(name, rows):
+        with open(os.path.join(raw, name), "w") as f:
+            f.write("order_id,ts\n" + "".join(f"{i},2026-04-2{i % 3} 10:00:00\n" for i in rows))
+
+    def landed():
+        return (spark.read.option("header", True).option("basePath", f"{tmp}/target")
+                .csv(f"{tmp}/target").select("order_id").collect())
+
+    put("a.csv", [1, 2]); put("b.csv", [3])
+    bm = lambda: Bookmark(spark, f"{tmp}/state", "landing")
+    land_by_date(spark, f"{tmp}/raw", f"{tmp}/target", glob="*.csv", ts_col="ts", bookmark=bm())
+    assert sorted(int(r.order_id) for r in landed()) == [1, 2, 3]
+    put("c.csv", [4, 5])
+    land_by_date(spark, f"{tmp}/raw", f"{tmp}/target", glob="*.csv", ts_col="ts", bookmark=bm())
+    land_by_date(spark, f"{tmp}/raw", f"{tmp}/target", glob="*.csv", ts_col="ts", bookmark=bm())
+    assert sorted(int(r.order_id) for r in landed()) == [1, 2, 3, 4, 5]
+
+
 def test_suffix_filter_keys(spark, tmp):
     from cairn.sources.files import read_csv
     base = _local(tmp)
