@@ -176,8 +176,18 @@ def catalog_sink(df: DataFrame, table: str, path: str, fmt: str = "parquet",
     """Write a frame and keep the catalog table in step (``getSink`` with
     ``enableUpdateCatalog``): the table is created on first write; on later
     writes only the partitions just written are added (no full-folder
-    listing), and with ``UPDATE_IN_DATABASE`` a changed schema re-creates it."""
+    listing), and with ``UPDATE_IN_DATABASE`` a changed schema re-creates it.
+
+    The written partition values are an observed metric of the write job
+    itself (``observe`` + ``collect_set``, merged across tasks; one entry per
+    partition), so the input is computed once, not again for a ``distinct``."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     spark = df.sparkSession
+    obs = None
+    if partition_by:
+        obs = Observation(f"written_{table}")
+        df = df.observe(obs, F.collect_set(F.struct(*partition_by)).alias("parts"))
     write_frame(df, path, fmt, mode="append", partition_by=partition_by,
                 compression=compression, dynamic=False)
     exists = spark.catalog.tableExists(table)
@@ -192,11 +202,10 @@ def catalog_sink(df: DataFrame, table: str, path: str, fmt: str = "parquet",
         create_external_table(spark, table, fmt, path, schema=T.StructType(data_cols + part_fields),
                               partition_by=partition_by)
     if partition_by:
-        written = df.select(*partition_by).distinct()
-        # one row per written partition: bounded by the partition count
+        written = obs.get["parts"]  # one entry per written partition
         specs = [({p: r[p] for p in partition_by},
                   path.rstrip("/") + "/" + "/".join(f"{p}={r[p]}" for p in partition_by))
-                 for r in written.collect()]
+                 for r in written]
         if specs:
             add_partitions(spark, table, specs)
     refresh(spark, table)
