@@ -175,3 +175,18 @@ def test_schema_lookup_follows_rewrites(spark, tmp):
     assert load(spark, sf, "t").columns == ["id"]
     spark.range(3).selectExpr("id", "id * 2 AS x").write.mode("overwrite").parquet(os.path.join(sf, "t.parquet"))
     assert load(spark, sf, "t").columns == ["id", "x"]
+
+
+def test_upsert_distinct_keys_add_no_shuffle(spark):
+    """The staged keys' distinct and the anti join share one exchange per side."""
+    from cairn.operators.rows import merge_upsert
+    a = spark.range(0, 1000).selectExpr("id AS k", "id * 2 AS v")
+    b = spark.range(0, 100).selectExpr("id % 10 AS k", "id AS v")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge_upsert(a, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "LeftAnti" in plan
