@@ -11,11 +11,12 @@ with the record as JSON text.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,23 @@ class MappedFrame:
     errors: DataFrame
     stage: str
     combined: DataFrame | None = None
+    observed_errors: int | None = None
+
+    def write(self, path: str, fmt: str = "parquet", **options) -> int:
+        """Write the good rows to ``path`` and return the number of error
+        records, taken from an observed metric of the same job: the function
+        runs once, and ``errors_count`` / ``assert_error_threshold`` then need
+        no second pass."""
+        from cairn.sinks.files import write_frame
+        if self.combined is None:
+            write_frame(self.frame, path, fmt, **options)
+            return self.errors_count()
+        obs = Observation(f"{self.stage}_errors_{uuid.uuid4().hex[:8]}")
+        both = self.combined.observe(obs, F.count_if(F.col(ERR_COL).isNotNull()).alias("n"))
+        names = [c for c in both.columns if c != ERR_COL]
+        write_frame(_split_errors(both, names, self.stage).frame, path, fmt, **options)
+        self.observed_errors = int(obs.get["n"])
+        return self.observed_errors
 
     def materialize(self, path: str) -> "MappedFrame":
         """Run the Python function once: write good and bad rows together to
@@ -43,6 +61,10 @@ class MappedFrame:
         return _split_errors(both, names, self.stage)
 
     def errors_count(self) -> int:
+        """Error records: the count observed by ``write`` when it ran, else one
+        count job over the error frame."""
+        if self.observed_errors is not None:
+            return self.observed_errors
         return self.errors.count()
 
     def assert_error_threshold(self, max_errors: int) -> "MappedFrame":

@@ -244,3 +244,22 @@ def test_catalog_sink_adds_partitions_and_follows_schema(spark, tmp):
     c = spark.range(15, 17).select("id", F.lit("x").alias("extra"), F.lit(7).cast("bigint").alias("p"))
     catalog_sink(c, t, f"{tmp}/out2", partition_by=["p"])
     assert "extra" in spark.table(t).columns
+
+
+def test_error_count_observed_by_the_write(spark, tmp):
+    """Writing the good rows reports the error count from the same job: the
+    row function runs once per record."""
+    from cairn.operators.rowfn import map_rows
+    calls = spark.sparkContext.accumulator(0)
+
+    def parse(r):
+        calls.add(1)
+        return {"v": int(r["v"])}
+
+    df = spark.createDataFrame([("1",), ("x",), ("3",), ("y",)], "v string").repartition(2)
+    m = map_rows(df, parse, "v int", stage="parse")
+    assert m.write(f"{tmp}/good") == 2
+    assert m.errors_count() == 2 and calls.value == 4
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp}/good").collect()) == [1, 3]
+    with pytest.raises(RuntimeError):
+        m.assert_error_threshold(1)
