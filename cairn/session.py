@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,25 +63,37 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The table schema is looked up once per session (as a metastore would hold
     it) instead of running a footer-reading job on every read; the key
     includes the path's modification time and size, so a rewritten table is
-    inspected again. The file listing itself is fresh on every call.
+    inspected again. A single-file table is read into one DataFrame per
+    session and version of the file (read once, reuse: no re-listing and
+    re-analysis per query); a folder is listed afresh on every call, since a
+    file added below it need not change the folder's own timestamp.
     """
     path = table_path(sf_dir, name)
-    key = (id(spark), path, *_path_stamp(spark, path))
-    schema = _SCHEMAS.get(key)
+    mtime, length, is_file = _path_stamp(spark, path)
+    key = (path, mtime, length)
+    frames = _FRAMES.setdefault(spark, {})
+    if is_file and key in frames:
+        return frames[key]
+    schema = frames.get(("schema", *key))
     if schema is None:
-        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(schema).parquet(path)
+        schema = frames[("schema", *key)] = spark.read.parquet(path).schema
+    df = spark.read.schema(schema).parquet(path)
+    if is_file:
+        frames[key] = df
+    return df
 
 
-_SCHEMAS: dict[tuple, object] = {}
+# per session object: table schemas and single-file table frames (a few
+# small entries per table; a new session starts with none)
+_FRAMES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
-def _path_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(modification time, length) of a file or folder (one metadata call)."""
+def _path_stamp(spark: SparkSession, path: str) -> tuple[int, int, bool]:
+    """(modification time, length, is a file) of a path (one metadata call)."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
     st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)  # noqa: SLF001
-    return st.getModificationTime(), st.getLen()
+    return st.getModificationTime(), st.getLen(), st.isFile()
 
 
 def checkpoint_root(spark: SparkSession) -> str:

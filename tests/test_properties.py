@@ -190,3 +190,22 @@ def test_upsert_distinct_keys_add_no_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert plan.count("Exchange hashpartitioning") == 2
     assert "LeftAnti" in plan
+
+
+def test_single_file_table_reused_until_rewritten(spark, tmp):
+    """A single-file table is one DataFrame per session until the file changes."""
+    import os
+    import time
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from cairn.session import load
+    local = tmp.replace("file:", "")
+    path = os.path.join(local, "t.parquet")
+    os.makedirs(local, exist_ok=True)
+    pq.write_table(pa.table({"id": [1, 2]}), path)
+    a, b = load(spark, tmp, "t"), load(spark, tmp, "t")
+    assert a is b and a.columns == ["id"]
+    time.sleep(0.01)
+    pq.write_table(pa.table({"id": [1, 2], "x": [3, 4]}), path)
+    c = load(spark, tmp, "t")
+    assert c is not a and c.columns == ["id", "x"] and c.count() == 2
