@@ -4,8 +4,8 @@
 
 Each query runs end to end into Spark's ``noop`` sink (the whole plan is
 executed, nothing is collected to the driver): one warm-up, then
-``BENCH_RUNS`` timed runs (default 3); the median is reported. Prints ONE
-JSON line.
+``BENCH_RUNS`` timed runs (default 5: run-to-run noise on a shared VM is
+about ±10%); the median is reported. Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ JOBS = {
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = sys.argv[1:] or HEADLINE
 
     from cairn.plans import registry
