@@ -27,9 +27,11 @@ def cents_bigint(col) -> Column:
     """Two-decimal amount → exact cents as BIGINT.
 
     For partial sums over many rows: a BIGINT sum buffer is fixed-width and
-    stays in the fast hash-aggregate path (a DECIMAL(38) one is not). Use it
-    only where |amount| × rows per group provably stays below 9.2e16 (e.g.
-    line quantities of at most a few thousand, over any number of lines).
+    stays in the fast hash-aggregate path (a DECIMAL(38) one is not). Summed
+    with a plain ``F.sum`` only where |amount| × rows per group provably stays
+    below 9.2e16 (e.g. line quantities of at most a few thousand, over any
+    number of lines); otherwise sum it with ``exact_sum``, which has no such
+    bound in practice.
     """
     return F.round(_c(col) * 100).cast("bigint")
 
