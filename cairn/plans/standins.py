@@ -88,32 +88,43 @@ def _doc_part(n_lines):
 def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as documents: customer struct + items array of structs.
 
-    Items are grouped per (order, part) with ``part`` from ``_doc_part``, so a
-    document's array stays near ``MAX_ITEMS_PER_DOC`` entries even for an
-    order that holds a large share of all lines (no unbounded group in one
-    task, and a hot order's documents spread over many tasks). The per-order
-    line count is a partial aggregate. Arrays are sorted by every field, so
-    each item's index is deterministic.
+    An order-sized frame (order, customer, line count: one row per order)
+    meets the line items in an inner join -- AQE can split a hot order on the
+    line side -- and documents are then built per (order, part) with ``part``
+    from ``_doc_part``, so a document's array stays near
+    ``MAX_ITEMS_PER_DOC`` entries and a hot order's documents spread over
+    many tasks; no later join gathers them by order again. Orders without
+    lines come from the same order-sized frame (one document, no items).
+    Order and customer keys are primary keys. Arrays are sorted by every
+    field, so each item's index is deterministic.
     """
     li = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    li = li.join(counts, "l_orderkey").withColumn("part", _doc_part(F.col("n_lines")))
-    # cluster on (order, part), not on the order alone: a hot order's
-    # documents spread over many tasks, and AQE may split the skewed join
-    # above because an exchange follows it
-    items = (li.repartition("l_orderkey", "part").groupBy("l_orderkey", "part")
-             .agg(F.array_sort(F.collect_list(F.struct(
-                 F.col("l_linenumber").alias("line"),
-                 F.col("l_partkey").alias("product"),
-                 F.col("l_quantity").alias("quantity"),
-                 F.col("l_extendedprice").alias("price"),
-             ))).alias("items")))
-    o = load(spark, sf, "orders")
+    counts = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("n_lines"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    part = F.coalesce(F.col("part"), F.lit(0)).cast("bigint")
-    return (o.join(c, o.o_custkey == c.c_custkey, "left")
-            .join(items, o.o_orderkey == items.l_orderkey, "left")
+    orders = (o.join(c, o.o_custkey == c.c_custkey, "left")
+              .join(counts, o.o_orderkey == counts.k, "left")
+              .select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_lines"))
+    # (no filter on n_lines here: both branches then share one order-sized
+    # plan, whose exchanges Spark computes once and reuses)
+    lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+             .withColumn("part", _doc_part(F.col("n_lines"))))
+    doc_keys = ["o_orderkey", "part", "o_totalprice", "c_name", "c_mktsegment"]
+    # cluster on (order, part), not on the order alone
+    docs = (lines.repartition("o_orderkey", "part").groupBy(*doc_keys)
+            .agg(F.array_sort(F.collect_list(F.struct(
+                F.col("l_linenumber").alias("line"),
+                F.col("l_partkey").alias("product"),
+                F.col("l_quantity").alias("quantity"),
+                F.col("l_extendedprice").alias("price"),
+            ))).alias("items")))
+    no_lines = (orders.filter(F.col("n_lines").isNull())
+                .select("o_orderkey", F.lit(0).cast("bigint").alias("part"), "o_totalprice",
+                        "c_name", "c_mktsegment",
+                        F.lit(None).cast(docs.schema["items"].dataType).alias("items")))
+    part = F.col("part").cast("bigint")
+    return (docs.unionByName(no_lines)
             .select(F.concat_ws("/", F.col("o_orderkey").cast("string"), part.cast("string")).alias("doc_id"),
                     F.col("o_orderkey").alias("order_id"), part.alias("part"),
                     F.struct(F.col("c_name").alias("name"),
