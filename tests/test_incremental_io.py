@@ -263,3 +263,27 @@ def test_error_count_observed_by_the_write(spark, tmp):
     assert sorted(r.v for r in spark.read.parquet(f"{tmp}/good").collect()) == [1, 3]
     with pytest.raises(RuntimeError):
         m.assert_error_threshold(1)
+
+
+def test_catalog_sink_computes_input_once(spark, tmp):
+    """The written partitions come from an observed metric of the write, so
+    the input is not computed a second time to list them."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+    from cairn.sources.catalog import catalog_sink
+    calls = spark.sparkContext.accumulator(0)
+
+    @pandas_udf("bigint")
+    def counted(v: pd.Series) -> pd.Series:
+        calls.add(len(v))
+        return v
+
+    db = unique_name("once")
+    create_database(spark, db)
+    # the partition column depends on the counted function, so listing the
+    # partitions by a second query would run it again
+    df = (spark.range(0, 200, 1, 4).select(counted("id").alias("id"))
+          .withColumn("p", F.col("id") % 3))
+    out = catalog_sink(df, f"{db}.t", f"{tmp}/t", partition_by=["p"])
+    assert calls.value == 200
+    assert out.count() == 200 and show_partitions(spark, f"{db}.t").count() == 3
