@@ -18,11 +18,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def cents(col) -> Column:
-    """Two-decimal amount → exact number of cents (DECIMAL(38,0))."""
-    return F.round(_c(col) * 100).cast("decimal(38,0)")
-
-
 def cents_bigint(col) -> Column:
     """Two-decimal amount → exact cents as BIGINT.
 
