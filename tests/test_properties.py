@@ -209,3 +209,25 @@ def test_single_file_table_reused_until_rewritten(spark, tmp):
     pq.write_table(pa.table({"id": [1, 2], "x": [3, 4]}), path)
     c = load(spark, tmp, "t")
     assert c is not a and c.columns == ["id", "x"] and c.count() == 2
+
+
+def test_headline_plans_have_no_cross_join_or_row_python(spark):
+    """At scale (automatic broadcast off): no cartesian or nested-loop join,
+    no row-at-a-time Python, and every scan reads fewer columns than its
+    table when the query needs fewer."""
+    from cairn.plans import registry
+    from tools.plan_report import HEADLINE, summarize
+    qs = registry.queries()
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in HEADLINE:
+            plan = qs[n](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            ops = summarize(plan)["ops"]
+            for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+                assert bad not in ops, (n, bad)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    li = qs["revenue_by_category"](spark, "/root/testdata/sf0.001")
+    scans = summarize(li._jdf.queryExecution().executedPlan().toString())["scans"]
+    assert dict((t, c) for t, c, _ in scans)["lineitem.parquet"] == 3
