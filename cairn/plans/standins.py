@@ -96,7 +96,8 @@ def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     many tasks; no later join gathers them by order again. Orders without
     lines come from the same order-sized frame (one document, no items).
     Order and customer keys are primary keys. Arrays are sorted by every
-    field, so each item's index is deterministic.
+    field (``sort_array``: natural struct order, no per-comparison lambda as
+    in ``array_sort``), so each item's index is deterministic.
     """
     li = load(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
@@ -113,7 +114,7 @@ def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     doc_keys = ["o_orderkey", "part", "o_totalprice", "c_name", "c_mktsegment"]
     # cluster on (order, part), not on the order alone
     docs = (lines.repartition("o_orderkey", "part").groupBy(*doc_keys)
-            .agg(F.array_sort(F.collect_list(F.struct(
+            .agg(F.sort_array(F.collect_list(F.struct(
                 F.col("l_linenumber").alias("line"),
                 F.col("l_partkey").alias("product"),
                 F.col("l_quantity").alias("quantity"),
