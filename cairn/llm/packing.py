@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -31,8 +32,25 @@ END_ID = 1
 FINE, STEP = 32, 16
 #: Pieces in an enumerated combination.
 DEPTH = 3
+#: Texts tokenized at once.
+BATCH = 32
 #: Distinct words a task's table holds before it starts a new one.
-TABLE_WORDS = 400_000
+TABLE_WORDS = 1_200_000
+#: Latin letters, and a stop or comma: the tokenizer's normalizer only lowers
+#: these letters, and its split puts the mark apart.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+
+
+def _lowered(text: str) -> str:
+    """A text in lower case where the tokenizer's own lowering is the same: in
+    Latin-1, and without the strings of special tokens."""
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 class WordIds:
@@ -44,27 +62,61 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        # for words that are lower-case letters already: the same model alone
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        #: ids that end a word
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.kind = "<u2" if len(self.last) <= 1 << 16 else "<u4"
         self.table: dict[str, bytes] = {"": b""}
 
-    def __call__(self, text: str) -> np.ndarray:
-        """Little-endian 32-bit ids of a text."""
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            ids = b"".join([self.table[w] for w in parts])
-        except KeyError:
-            if len(self.table) > TABLE_WORDS:
-                self.table = {"": b""}
-            new = [w for w in dict.fromkeys(parts) if w not in self.table]
-            for at in range(0, len(new), 10_000):
-                some = new[at:at + 10_000]
-                for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    self.table[w] = np.array(e.ids, dtype=self.kind).tobytes()
-            ids = b"".join([self.table[w] for w in parts])
-        return np.frombuffer(ids, dtype=self.kind).astype("<u4")
+    def _whole(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.table[w] = np.array(e.ids, dtype=self.kind).tobytes()
+
+    def _letters(self, words: list[str]) -> None:
+        """Words of lower-case letters, many in a call: every word ends in an id that ends a word."""
+        lines = [" ".join(words[at:at + 100]) for at in range(0, len(words), 100)]
+        ids = np.array([i for e in self.plain.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], dtype=self.kind)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+        if len(ends) != len(words):
+            return self._whole(words)
+        flat = ids.tobytes()
+        start = 0
+        for w, end in zip(words, ends.tolist(), strict=True):
+            self.table[w] = flat[start:end]
+            start = end
+
+    def _learn(self, new) -> None:
+        """Adds words that the table lacks."""
+        table = self.table
+        parts, others = [], [m for m in ".," if m not in table]
+        for w in new:
+            if m := _PLAIN.fullmatch(w):
+                parts.append((w, m[1].lower(), m[2]))
+            else:
+                others.append(w)
+        self._letters(list({b for _, b, _ in parts}.difference(table)))
+        self._whole(others)
+        for w, bare, mark in parts:
+            table[w] = table[bare] + table[mark]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """Little-endian 32-bit ids of each text."""
+        split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.table) > TABLE_WORDS:
+            self.table = {"": b""}
+        if new := set().union(*split).difference(self.table):
+            self._learn(new)
+        get = self.table.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), dtype=self.kind).astype("<u4") for words in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -91,8 +143,10 @@ def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "class", "at"]
         for b in batches:
             rows, cut = [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = np.append(ids_of(text or ""), np.uint32(END_ID)).astype("<u4")
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            found = (x for at in range(0, len(texts), BATCH) for x in ids_of(texts[at:at + BATCH]))
+            for doc, ids in zip(b.column("doc_id").to_pylist(), found, strict=True):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for start in range(0, len(ids), WINDOW):
                     own = ids[start:start + WINDOW]
                     k = length_class(len(own))
