@@ -6,11 +6,12 @@ are band keys that generate candidates, and the matching bits of two packed
 signatures, corrected for chance collisions, estimate the similarity. Pairs
 that pass the estimate are confirmed on the full sets.
 
-Groups are never expanded into all pairs. A band bucket first links its
-members to its smallest one; connected members need no further test. Members
-of a bucket that are still apart are compared among each other on packed
-signatures inside tasks, in blocks of bounded size, so no true link between
-candidates is lost however large a bucket is.
+Groups are never expanded into all pairs. A band bucket links its members to
+its smallest one; members that connect need no further test. What is still
+apart is settled inside groups that hold every pair of candidates: only the
+documents outside a group's largest component are compared with the others,
+on full sets, in tasks that hold two blocks of bounded size. So no link between
+candidates is lost however large a bucket or a group is.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BANDS, ROWS, BITS = 40, 5, 8
 MARGIN = 0.17
 #: Signatures compared at once inside a task.
 BLOCK = 512
+#: Shingles of a block of full sets.
+TOKENS = 400_000
 #: Distinct words a task's table holds before it starts a new one.
 TABLE_WORDS = 400_000
 
@@ -178,11 +181,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 
 def _apart(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs (a, b) among members (key, id, component) of one bucket
-    that are in different components, neither the bucket's smallest member.
+    """Pairs (a, b) among members (key, id, component) of one bucket that are
+    in different components, neither the bucket's smallest member, with an
+    estimate of ``least`` or more.
 
     A bucket is dealt into blocks of about BLOCK members; a task compares two
-    blocks at a time and returns only pairs whose estimate reaches ``least``.
+    blocks at a time.
     """
     size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     size = size.where("c0 <> c1 AND n > 2").select("key", "low", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))
@@ -193,22 +197,81 @@ def _apart(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     rows = rows.join(sets.select("id", "sig"), "id")
 
     def compare(table):
-        i, ids, comp = (table.column(c).to_numpy() for c in ("i", "id", "component"))
+        i, ids, comp = (table.column(x).to_numpy() for x in ("i", "id", "component"))
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         sig = _bytes_matrix(table.column("sig"), BANDS * ROWS)
         left, right = np.flatnonzero(i == lo), np.flatnonzero(i == hi)
-        found = []
+        a, b = [], []
         for r in left:
             other = right[(comp[right] != comp[r]) & ((ids[right] > ids[r]) | (lo != hi))]
             if len(other):
-                near = other[estimate(sig[r][None, :], sig[other]) >= least]
-                found += [(min(ids[r], ids[o]), max(ids[r], ids[o])) for o in near]
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                other = other[estimate(sig[r][None, :], sig[other]) >= least]
+                a.append(np.minimum(ids[r], ids[other]))
+                b.append(np.maximum(ids[r], ids[other]))
+        none = np.empty(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
 
     return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _within(groups: DataFrame, linked: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components inside groups (id, group).
+
+    Members of a group's largest component are met by the others only. Both
+    sides are dealt into blocks of about TOKENS shingles; a task holds two
+    blocks, compares full sets, and returns for each minor member one link per
+    component, the smallest.
+    """
+    nodes = groups.join(linked, "id", "left").select("id", "group", F.coalesce("component", "id").alias("component"))
+    parts = nodes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    many = parts.groupBy("group").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", F.negative("component").alias("c"))).alias("top"))
+    # two documents have been compared already
+    many = many.where("parts > 1 AND n > 2").select("group", F.negative("top.c").alias("main"))
+    nodes = stored(nodes.join(many, "group").select("id", "group", "component", (F.col("component") != F.col("main")).alias("minor")), "group-members")
+
+    def to_sets(batches):
+        shingles = Shingler(shingle)
+        for b in batches:
+            own = [shingles(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.tobytes() for x in own], pa.binary())], ["id", "s"])
+
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(nodes.select("id"), "id", "left_semi")
+    rows = map_arrow(texts, to_sets, "id long, s binary").join(nodes, "id")
+    rows = stored(rows.select("group", "id", "component", "minor", "s", F.octet_length("s").alias("bytes")), "group-sets")
+    blocks = lambda c: F.greatest(F.ceil(c / (8 * TOKENS)), F.lit(1)).cast("int")
+    size = rows.groupBy("group").agg(blocks(F.sum("bytes")).alias("k"), blocks(F.sum(F.when(F.col("minor"), F.col("bytes")))).alias("m"))
+    rows = rows.join(size, "group").drop("bytes")
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("j", deal("k")).withColumn("left", F.lit(False))
+    minor = rows.where("minor").withColumn("i", deal("m")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("left", F.lit(True))
+    rows = every.unionByName(minor).select("group", "i", "j", "left", "id", "component", "s")
+
+    def compare(table):
+        left, ids, comp = (table.column(x).to_numpy(zero_copy_only=False) if x == "left" else table.column(x).to_numpy() for x in ("left", "id", "component"))
+        tokens = [np.frombuffer(x, np.uint64) for x in table.column("s").to_pylist()]
+        own, other = np.flatnonzero(left), np.flatnonzero(~left)
+        found: set[tuple[int, int]] = set()
+        if len(own) and len(other):
+            n = np.array([len(t) for t in tokens])
+            _, number = np.unique(np.concatenate(tokens), return_inverse=True)
+            number = np.split(number, np.cumsum(n)[:-1])
+            flat = np.concatenate([number[r] for r in other])
+            start = np.concatenate([[0], np.cumsum(n[other])[:-1]])
+            mark = np.zeros(int(max(x.max() for x in number)) + 1, np.int32)
+            for r in own:
+                mark[number[r]] = 1
+                common = np.add.reduceat(mark[flat], start)
+                mark[number[r]] = 0
+                hit = other[(100 * common >= percent * (n[other] + n[r] - common)) & (comp[other] != comp[r])]
+                if len(hit):
+                    _, first = np.unique(comp[hit], return_index=True)
+                    found |= {(min(x, y), max(x, y)) for x, y in ((int(ids[r]), int(ids[h])) for h in hit[first])}
+        a, b = zip(*sorted(found), strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -245,10 +308,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     best = Window.partitionBy("b").orderBy(F.desc("est"), "a")
     first = star.withColumn("r", F.row_number().over(best)).where("r = 1")
     links = stored(_confirmed(first, docs, shingle, percent), "links")
-    for step in (lambda c: _open(star.join(first.select("a", "b"), ["a", "b"], "left_anti"), c),
-                 lambda c: _open(_apart(members.join(c, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), sets, least), c)):
-        found = stored(step(components(links)), "open")
-        links = stored(links.union(_confirmed(found, docs, shingle, percent)), "links")
+    found = stored(_open(star.join(first.select("a", "b"), ["a", "b"], "left_anti"), components(links)), "open")
+    links = stored(links.union(_confirmed(found, docs, shingle, percent)), "links")
+    # groups that hold every pair of candidates, and what is still apart in them
+    near = components(star)
+    named = members.join(near, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    more = stored(_apart(named, sets, least), "more")
+    near = components(star.select("a", "b").union(more)).withColumnRenamed("component", "group")
+    links = stored(links.union(_within(near, components(links), docs, shingle, percent)), "links")
     linked = components(links.union(copies))
     out = every.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     # equal doc_ids are one document; those without a component stand alone
