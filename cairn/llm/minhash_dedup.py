@@ -34,6 +34,8 @@ BANDS, ROWS, BITS = 40, 5, 8
 MARGIN = 0.17
 #: Signatures compared at once inside a task.
 BLOCK = 512
+#: Rounds of single pairs before the groups.
+ROUNDS = 3
 #: Shingles of a block of full sets.
 TOKENS = 400_000
 #: Distinct words a task's table holds before it starts a new one.
@@ -304,18 +306,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = stored(bands.join(buckets.select("key", "low"), "key"), "members")
     star = members.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
     star = stored(_estimated(star, sets, least), "star")
-    # one link per document first, the most similar; the rest only if still apart
+    # a pair per document and round, the most similar that is still apart
     best = Window.partitionBy("b").orderBy(F.desc("est"), "a")
-    first = star.withColumn("r", F.row_number().over(best)).where("r = 1")
-    links = stored(_confirmed(first, docs, shingle, percent), "links")
-    found = stored(_open(star.join(first.select("a", "b"), ["a", "b"], "left_anti"), components(links)), "open")
-    links = stored(links.union(_confirmed(found, docs, shingle, percent)), "links")
+    links, left = None, star
+    for _ in range(ROUNDS):
+        first = stored(left.withColumn("r", F.row_number().over(best)).where("r = 1").select("a", "b"), "first")
+        left = left.join(first, ["a", "b"], "left_anti")
+        met = _confirmed(first, docs, shingle, percent)
+        links = stored(links.union(met) if links else met, "links")
+        joined = components(links)
+        left = stored(left.join(_open(left, joined), ["a", "b"], "left_semi"), "open")
     # groups that hold every pair of candidates, and what is still apart in them
     near = components(star)
     named = members.join(near, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     more = stored(_apart(named, sets, least), "more")
     near = components(star.select("a", "b").union(more)).withColumnRenamed("component", "group")
-    links = stored(links.union(_within(near, components(links), docs, shingle, percent)), "links")
+    links = stored(links.union(_within(near, joined, docs, shingle, percent)), "links")
     linked = components(links.union(copies))
     out = every.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     # equal doc_ids are one document; those without a component stand alone

@@ -39,7 +39,9 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 #: separator inside a word, a sign that stands for itself.
 SIGN, AGAIN, BETWEEN, ITSELF = -0.5, -0.7, -0.3, -9.0
 #: Readings kept per place of a lattice; longest word decoded; words remembered.
-BEAM, LONGEST, TABLE_WORDS = 48, 40, 300_000
+BEAM, LONGEST, TABLE_WORDS = 48, 40, 250_000
+#: Stems that a task holds before it hands them on, and texts scored at once.
+STEM_ROWS, BATCH = 150_000, 250
 #: Share of the lower order in each order's estimate.
 BACKOFF = 0.3
 #: Log ratio from which a word counts as marked.
@@ -276,24 +278,32 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     counts[found.column("kind").to_numpy(), found.column("gram").to_numpy()] = found.column("n").to_numpy()
 
     def stems(batches):
-        tokens: Counter = Counter()
-        texts_with: Counter = Counter()
+        # stem to [tokens, texts] by class; handed on before it grows large
+        held: tuple[dict, dict] = ({}, {})
+
+        def rows():
+            for toxic, own in enumerate(held):
+                if own:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()),
+                         pa.array([n for n, _ in own.values()], pa.int64()), pa.array([d for _, d in own.values()], pa.int64())],
+                        ["stem", "toxic", "n", "docs"])
+                    own.clear()
+
         for b in batches:
             for t, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                own: Counter = Counter()
+                own: dict = {}
                 for w, n in Counter(_WORD.findall((t or "").lower())).items():
                     for k in STEM_LENGTHS:
                         if k <= len(w):
-                            own[w[:k]] += n
+                            own[w[:k]] = own.get(w[:k], 0) + n
+                table = held[bool(toxic)]
                 for x, n in own.items():
-                    tokens[x, toxic] += n
-                    texts_with[x, toxic] += 1
-        whole = list(tokens)
-        for at in range(0, len(whole), 50_000):
-            keys = whole[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in keys]), pa.array([int(bool(y)) for _, y in keys], pa.int32()),
-                 pa.array([tokens[x] for x in keys], pa.int64()), pa.array([texts_with[x] for x in keys], pa.int64())], ["stem", "toxic", "n", "docs"])
+                    n0, d0 = table.get(x, (0, 0))
+                    table[x] = (n0 + n, d0 + 1)
+                if len(held[0]) + len(held[1]) > STEM_ROWS:
+                    yield from rows()
+        yield from rows()
 
     seen = map_arrow(marked.where("toxic IS NOT NULL"), stems, "stem string, toxic int, n long, docs long")
     kind = lambda c, y: F.sum(F.when(F.col("toxic") == y, F.col(c)).otherwise(0))
@@ -307,7 +317,8 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     def measure(batches):
         scorer = Scorer(*model.value)
         for b in batches:
-            x = scorer([t or "" for t in b.column("text").to_pylist()]) if b.num_rows else np.zeros((0, 5))
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            x = np.concatenate([np.zeros((0, 5)), *[scorer(texts[at:at + BATCH]) for at in range(0, len(texts), BATCH)]])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *[pa.array(x[:, k]) for k in range(5)]], ["doc_id", "x0", "x1", "x2", "x3", "x4"])
 
     sums = stored(map_arrow(texts, measure, "doc_id long, x0 double, x1 double, x2 double, x3 double, x4 double"), "toxic-sums")
