@@ -122,23 +122,27 @@ class Bookmark:
 
     # -- table sources (key / timestamp high-water mark) -------------------
     def read_by_key(self, df: DataFrame, source: str, key: str) -> DataFrame:
-        """Rows with ``key`` above the committed high-water mark; the new mark
-        (max key of the delta, one aggregate) is staged for commit."""
-        hw = None
-        if self.mode in ("enable", "pause"):
-            row = (self._live(source).filter(F.col("kind") == "key")
-                   .orderBy(F.desc("seq")).select("high_water").first())
-            hw = row.high_water if row else None
+        """Rows with ``key`` above the committed high-water mark.
+
+        The new mark is fixed here, by one aggregate over the key column, and
+        bounds the rows returned: a row that arrives between the sink and the
+        commit stays above the mark for the next run. ``pause`` and
+        ``disable`` return all rows. Rows without a key cannot be ordered:
+        only the first run, with no mark yet, returns them."""
+        if self.mode != "enable":
+            return df
+        row = (self._live(source).filter(F.col("kind") == "key")
+               .orderBy(F.desc("seq")).select("high_water").first())
         dtype = df.schema[key].dataType
-        delta = df if hw is None else df.filter(F.col(key) > F.lit(hw).cast(dtype))
-        if self.mode == "enable":
-            mark = delta.agg(F.max(key).cast("string").alias("high_water"))
-            self._pending.append(mark.filter("high_water IS NOT NULL").select(
-                F.lit(self.job).alias("job"), F.lit(source).alias("source"), F.lit("key").alias("kind"),
-                F.lit(None).cast("string").alias("path"), F.lit(None).cast("timestamp").alias("mtime"),
-                F.lit(None).cast("long").alias("length"), "high_water",
-                F.lit(self.run_id).alias("run_id"), F.lit(_seq()).alias("seq")))
-        return delta
+        k = F.col(f"`{key}`")
+        delta = df if row is None else df.filter(k > F.lit(row.high_water).cast(dtype))
+        top = delta.agg(F.max(k).cast("string").alias("top")).first().top  # one value
+        if top is None:
+            return delta.filter(k.isNull())
+        self._pending.append(self.spark.createDataFrame(
+            [(self.job, source, "key", None, None, None, top, self.run_id, _seq())], MANIFEST_SCHEMA))
+        upto = k <= F.lit(top).cast(dtype)
+        return delta.filter(upto | k.isNull()) if row is None else delta.filter(upto)
 
     def commit(self) -> None:
         """Record what this run read. Call after the sink has finished."""

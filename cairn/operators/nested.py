@@ -101,6 +101,8 @@ def _relationalize(df: DataFrame, name: str, key: str, sep: str,
     out[name] = flat.select(root_cols)
     for a in arrays:
         child_name = f"{name}_{a.replace(sep, '_')}"
+        if child_name in out:
+            raise ValueError(f"two arrays map to the table {child_name}; rename one of them")
         el = flat.schema[a].dataType.elementType
         exploded = flat.select(F.col(_q(key)).alias("id"),
                                F.posexplode(F.col(_q(a))).alias("index", "_el"))
@@ -121,6 +123,8 @@ def _relationalize(df: DataFrame, name: str, key: str, sep: str,
                                                F.col("index").cast("string")))
         sub: dict[str, DataFrame] = {}
         _relationalize(body, child_name, ck, sep, sub, drop_key=True)
+        if clash := out.keys() & sub.keys():
+            raise ValueError(f"two arrays map to the tables {sorted(clash)}; rename one of them")
         out.update(sub)
 
 

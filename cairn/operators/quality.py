@@ -72,9 +72,9 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias("_total")]
         aggs += [F.count_if(r.violation()).alias(f"_r{i}") for i, r in enumerate(row_rules)]
         one = df.agg(*aggs)
-        stack = ", ".join(f"'{r.name}', _r{i}" for i, r in enumerate(row_rules))
+        stack = [x for i, r in enumerate(row_rules) for x in (F.lit(r.name), F.col(f"_r{i}"))]
         parts.append(one.select(F.col("_total").alias("n_checked"),
-                                F.expr(f"stack({len(row_rules)}, {stack}) AS (rule, n_failed)")))
+                                F.stack(F.lit(len(row_rules)), *stack).alias("rule", "n_failed")))
     for r in rules:
         if r.kind != "unique":
             continue
@@ -99,8 +99,12 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     flags = []
     for i, r in enumerate(rules):
         if r.kind == "unique":
-            dups = _dup_keys(df, r).select(*r.columns, F.lit(True).alias(f"_u{i}"))
-            tagged = tagged.join(dups, list(r.columns), "left")
+            # NULL keys count as equal, as in the report
+            dups = _dup_keys(df, r).select(
+                *[F.col(f"`{c}`").alias(f"_u{i}_{n}") for n, c in enumerate(r.columns)],
+                F.lit(True).alias(f"_u{i}"))
+            same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_u{i}_{n}")) for n, c in enumerate(r.columns)]
+            tagged = tagged.join(dups, same, "left")
             flags.append(F.when(F.coalesce(F.col(f"_u{i}"), F.lit(False)), F.lit(r.name)))
         else:
             flags.append(F.when(r.violation(), F.lit(r.name)))

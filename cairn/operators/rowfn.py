@@ -2,23 +2,26 @@
 with an error set instead of job failure, and ``spigot``.
 
 Python only runs where the caller hands in Python: batches cross the JVM
-boundary as Arrow record batches (``mapInPandas``), never row by row through
-pickled ``Row`` objects. A record whose function raises is not lost and does
-not kill the task: it goes to the error frame as ``(stage, message, record)``
-with the record as JSON text.
+boundary as Arrow record batches (``mapInArrow``), never through pandas, which
+would turn a BIGINT beside a NULL into a double. A record whose function raises
+is not lost and does not kill the task: it goes to the error frame as
+``(stage, message, record)`` with the record as JSON text.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ERR_COL = "__error"
 
@@ -75,78 +78,139 @@ class MappedFrame:
         return self
 
 
-def _json_default(o):
-    if hasattr(o, "isoformat"):
-        return o.isoformat()
-    return str(o)
-
-
-def _with_error_column(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(ERR_COL, T.StringType())])
+def _plain(v):
+    """A record as JSON-ready values; non-finite numbers become text."""
+    if isinstance(v, dict):
+        return {str(k): _plain(x) for k, x in v.items()}
+    if isinstance(v, (list, tuple)):
+        return [_plain(x) for x in v]
+    if isinstance(v, float) and not math.isfinite(v):
+        return str(v)
+    if v is None or isinstance(v, (str, int, float)):
+        return v
+    return v.isoformat() if hasattr(v, "isoformat") else str(v)
+
+
+ERR_TYPE = T.StructType([T.StructField("message", T.StringType()),
+                         T.StructField("record", T.StringType())])
+_CHUNK = 10_000  # rows per outgoing Arrow batch; results do not depend on it
+
+
+def _output(schema: T.StructType | str) -> tuple[list[str], T.StructType]:
+    out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema  # noqa: SLF001
+    names = out.fieldNames()
+    if ERR_COL in names:
+        raise ValueError(f"{ERR_COL} is reserved for the error set")
+    # error rows hold NULL in every column, whatever the caller's schema says
+    fields = [T.StructField(f.name, f.dataType, True) for f in out.fields]
+    return names, T.StructType(fields + [T.StructField(ERR_COL, ERR_TYPE)])
+
+
+def _failed(rec: dict | None, ex: Exception | str) -> dict:
+    message = ex if isinstance(ex, str) else f"{type(ex).__name__}: {ex}"
+    return {ERR_COL: {"message": message,
+                      "record": None if rec is None else json.dumps(_plain(rec))}}
+
+
+def _to_batches(results: Iterator[tuple[dict, dict]], schema) -> Iterator[pa.RecordBatch]:
+    """(input record, output row) pairs → Arrow batches; a row that does not
+    fit the output schema goes to the error set with its record."""
+    while chunk := list(itertools.islice(results, _CHUNK)):
+        try:
+            yield pa.RecordBatch.from_pylist([row for _, row in chunk], schema=schema)
+        except Exception:  # noqa: BLE001 - find the rows that do not fit
+            rows = []
+            for rec, row in chunk:
+                try:
+                    pa.RecordBatch.from_pylist([row], schema=schema)
+                    rows.append(row)
+                except Exception as ex:  # noqa: BLE001
+                    rows.append(_failed(rec, ex))
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType | str,
              stage: str = "map") -> MappedFrame:
-    """Apply ``fn(record: dict) -> dict`` to each record (``map``)."""
-    out_schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema  # noqa: SLF001
-    names = out_schema.fieldNames()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows, errs = [], []
-            for rec in pdf.to_dict("records"):
-                try:
-                    r = fn(dict(rec))
-                    rows.append({k: r.get(k) for k in names} | {ERR_COL: None})
-                except Exception as ex:  # noqa: BLE001 - error set, by design
-                    errs.append({k: None for k in names}
-                                | {ERR_COL: json.dumps({"message": f"{type(ex).__name__}: {ex}",
-                                                        "record": rec}, default=_json_default)})
-            yield pd.DataFrame(rows + errs, columns=names + [ERR_COL])
-
-    both = df.mapInPandas(run, _with_error_column(out_schema))
-    return _split_errors(both, names, stage)
-
-
-def map_partitions(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
+    """Apply ``fn(record: dict) -> dict`` to each record (``map``). Values reach
+    it unchanged: NULL is None, BIGINT an exact int."""
+    names, out_schema = _output(schema)
+    arrow = to_arrow_schema(out_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def results():
+            for batch in batches:
+                for rec in batch.to_pylist():
+                    try:
+                        r = fn(dict(rec))
+                        row = {k: r.get(k) for k in names}
+                    except Exception as ex:  # noqa: BLE001 - error set, by design
+                        row = _failed(rec, ex)
+                    yield rec, row
+        return _to_batches(results(), arrow)
+
+    return _split_errors(df.mapInArrow(run, out_schema), names, stage)
+
+
+def map_partitions(df: DataFrame, fn: Callable[..., Iterable[dict]],
                    schema: T.StructType | str, stage: str = "mapPartitions",
                    with_index: bool = False) -> MappedFrame:
-    """Apply ``fn`` to each Arrow batch of a partition as a pandas DataFrame
-    (``mapPartitions``); with ``with_index`` it is called as ``fn(pid, pdf)``
-    (``mapPartitionsWithIndex``). A batch whose function raises goes to the
-    error set record by record."""
-    out_schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema  # noqa: SLF001
-    names = out_schema.fieldNames()
-    src = df.withColumn("__pid", F.spark_partition_id()) if with_index else df
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pid = None
-            if with_index:
-                pid = int(pdf["__pid"].iloc[0]) if len(pdf) else -1
-                pdf = pdf.drop(columns=["__pid"])
+    """Apply ``fn(records) -> iterable of dicts`` once to each whole partition
+    (``mapPartitions``); with ``with_index`` it is called as ``fn(pid, records)``
+    (``mapPartitionsWithIndex``). ``records`` is an iterator, so a partition of
+    any size passes through in bounded memory.
+
+    When ``fn`` raises, the record it took last goes to the error set and
+    ``fn`` is called again on the records that are left: one bad record costs
+    only itself. A function that carries state from record to record should
+    therefore catch its own errors. A function that raises before it takes a
+    record sends every record left to the error set."""
+    names, out_schema = _output(schema)
+    arrow = to_arrow_schema(out_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        last: dict = {"rec": None, "ended": False, "upstream": None}
+
+        def records():
             try:
-                res = fn(pid, pdf) if with_index else fn(pdf)
-                res = res.reindex(columns=names)
-                res[ERR_COL] = None
-                yield res
-            except Exception as ex:  # noqa: BLE001
-                msg = f"{type(ex).__name__}: {ex}"
-                errs = [{k: None for k in names}
-                        | {ERR_COL: json.dumps({"message": msg, "record": rec}, default=_json_default)}
-                        for rec in pdf.to_dict("records")]
-                yield pd.DataFrame(errs, columns=names + [ERR_COL])
+                for batch in batches:
+                    for rec in batch.to_pylist():
+                        last["rec"] = rec
+                        yield dict(rec)
+            except Exception as ex:  # not the function's fault: the task fails
+                last["upstream"] = ex
+                raise
+            last["ended"] = True
+
+        def results():
+            source = records()
+            while True:
+                last["rec"] = None
+                try:
+                    for r in (fn(pid, source) if with_index else fn(source)):
+                        yield last["rec"], {k: r.get(k) for k in names}
+                    return
+                except Exception as ex:  # noqa: BLE001 - error set, by design
+                    if last["upstream"] is not None:
+                        raise
+                    if last["rec"] is not None:
+                        yield last["rec"], _failed(last["rec"], ex)
+                    else:
+                        for rec in source:
+                            yield rec, _failed(rec, ex)
+                    if last["ended"]:
+                        return
+        return _to_batches(results(), arrow)
 
-    both = src.mapInPandas(run, _with_error_column(out_schema))
-    return _split_errors(both, names, stage)
+    return _split_errors(df.mapInArrow(run, out_schema), names, stage)
 
 
 def _split_errors(both: DataFrame, names: list[str], stage: str) -> MappedFrame:
     good = both.filter(F.col(ERR_COL).isNull()).select(*[F.col(f"`{n}`") for n in names])
     err = both.filter(F.col(ERR_COL).isNotNull()).select(
         F.lit(stage).alias("stage"),
-        F.get_json_object(ERR_COL, "$.message").alias("message"),
-        F.get_json_object(ERR_COL, "$.record").alias("record"))
+        F.col(ERR_COL)["message"].alias("message"), F.col(ERR_COL)["record"].alias("record"))
     return MappedFrame(good, err, stage, both)
 
 
@@ -154,7 +218,9 @@ def spigot(df: DataFrame, path: str, fraction: float | None = None, top: int | N
            seed: int = 42) -> DataFrame:
     """Write a sample of the records as JSON to ``path`` and return the frame
     unchanged (the sample is the feature: a deterministic Bernoulli sample or
-    the first ``top`` records)."""
-    sample = df.sample(fraction=fraction, seed=seed) if fraction is not None else df.limit(top or 100)
+    the first ``top`` records; exactly one of the two is required)."""
+    if (fraction is None) == (top is None):
+        raise ValueError("give either fraction or top")
+    sample = df.sample(fraction=fraction, seed=seed) if fraction is not None else df.limit(top)
     sample.write.mode("overwrite").json(path)
     return df

@@ -54,15 +54,18 @@ def union_frames(*dfs: DataFrame, by_name: bool = True, allow_missing: bool = Tr
 def merge_upsert(source: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: staged rows replace source rows with the same keys, new keys
     are inserted, other source rows are kept. Duplicate keys on one side pass
-    through as they are. One shuffle on the keys (anti join) plus a union.
+    through as they are; NULL keys are equal to each other. One shuffle on the keys (anti join) plus a union.
 
     The staged keys are made distinct first: the partial aggregate collapses
     a key repeated many times in the stage inside each task, and the join
     reuses the aggregate's hash partitioning, so this costs no extra shuffle
     (AQE can split only the left side of an anti join when a key is hot)."""
     keys = list(keys)
-    stage_keys = stage.select(*keys).distinct()
-    kept = source.join(stage_keys, on=keys, how="left_anti")
+    # structs compare NULL fields as equal, and the distinct and the join then
+    # share one partitioning (a null-safe condition would shuffle once more)
+    key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    stage_keys = stage.select(key.alias("_staged")).distinct()
+    kept = source.join(stage_keys, on=key == F.col("_staged"), how="left_anti")
     return kept.unionByName(stage.select(*source.columns))
 
 

@@ -21,12 +21,13 @@ def _changed(t: DataFrame, s: DataFrame, attrs: Sequence[str]):
 
 
 def scd1(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Type 1: overwrite attributes in place; new keys inserted."""
+    """Type 1: overwrite attributes in place (also with NULL); new keys inserted."""
     keys = list(keys)
     attrs = [c for c in target.columns if c not in keys]
-    t, s = target.alias("t"), changes.alias("s")
+    t, s = target.alias("t"), changes.withColumn("_staged", F.lit(True)).alias("s")
     j = t.join(s, keys, "full")
-    return j.select(*keys, *[F.coalesce(F.col(f"s.{a}"), F.col(f"t.{a}")).alias(a)
+    staged = F.col("s._staged").isNotNull()
+    return j.select(*keys, *[F.when(staged, F.col(f"s.{a}")).otherwise(F.col(f"t.{a}")).alias(a)
                              if a in changes.columns else F.col(f"t.{a}") for a in attrs])
 
 
@@ -70,20 +71,22 @@ def scd2(history: DataFrame, changes: DataFrame, keys: Sequence[str], attrs: Seq
 def scd3(target: DataFrame, changes: DataFrame, keys: Sequence[str], attr: str,
          prev_col: str | None = None) -> DataFrame:
     """Type 3: the current value is overwritten and the value it replaced is
-    kept in ``prev_<attr>``; unchanged rows keep their previous value."""
+    kept in ``prev_<attr>``; unchanged rows keep their previous value. A staged
+    NULL is a value like any other."""
     keys = list(keys)
     prev_col = prev_col or f"prev_{attr}"
     if prev_col not in target.columns:
         target = target.withColumn(prev_col, F.lit(None).cast(target.schema[attr].dataType))
     others = [c for c in target.columns if c not in keys and c not in (attr, prev_col)]
-    t, s = target.alias("t"), changes.alias("s")
+    t = target.withColumn("_known", F.lit(True)).alias("t")
+    s = changes.withColumn("_staged", F.lit(True)).alias("s")
     j = t.join(s, keys, "full")
     sv, tv = F.col(f"s.{attr}"), F.col(f"t.{attr}")
-    staged = F.col(f"s.{attr}").isNotNull()
-    changed = staged & F.col(f"t.{attr}").isNotNull() & ~tv.eqNullSafe(sv)
+    staged = F.col("s._staged").isNotNull()
+    changed = staged & F.col("t._known").isNotNull() & ~tv.eqNullSafe(sv)
     return j.select(
         *keys,
-        *[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) if c in changes.columns
+        *[F.when(staged, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in changes.columns
           else F.col(f"t.{c}").alias(c) for c in others],
         F.when(staged, sv).otherwise(tv).alias(attr),
         F.when(changed, tv).otherwise(F.col(f"t.{prev_col}")).alias(prev_col))

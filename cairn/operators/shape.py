@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,8 +106,10 @@ def filter_rows(df: DataFrame,
     """Filter by a Column, a SQL text, or a Python predicate.
 
     Column/SQL predicates stay JVM-side and reach the scan as pushed filters.
-    A Python predicate receives an Arrow batch as a pandas DataFrame and
-    returns a boolean Series (vectorised; ``mapInPandas``); NULL → dropped.
+    A Python predicate receives an Arrow batch as a pandas DataFrame (integers
+    and booleans in nullable types, so a NULL alters no other value) and
+    returns a boolean Series; NULL → dropped. The kept rows are cut from the
+    Arrow batch itself and never pass through pandas.
     """
     if isinstance(predicate, Column):
         return df.filter(predicate)
@@ -114,12 +117,16 @@ def filter_rows(df: DataFrame,
         return df.filter(F.expr(predicate))
 
     def run(batches):
-        for pdf in batches:
-            mask = predicate(pdf)
-            mask = pd.Series(mask, index=pdf.index).fillna(False).astype(bool)
-            yield pdf[mask]
+        for batch in batches:
+            pdf = pa.Table.from_batches([batch]).to_pandas(types_mapper=_NULLABLE.get)
+            mask = pd.Series(predicate(pdf), index=pdf.index).fillna(False).astype(bool)
+            yield batch.filter(pa.array(mask.to_numpy()))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
+
+
+_NULLABLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(),
+             pa.int64(): pd.Int64Dtype(), pa.bool_(): pd.BooleanDtype()}
 
 
 def schema_has_field(schema: T.StructType, path: str) -> bool:

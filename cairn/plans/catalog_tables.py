@@ -92,15 +92,16 @@ def repair_partitions(spark, sf):
 
 
 @query("add_partition", f"""
-SELECT {', '.join(_ORDERS_COLS)} FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+SELECT {', '.join(_ORDERS_COLS)} FROM orders WHERE o_orderstatus IS DISTINCT FROM 'P'""")
 def add_partition(spark, sf):
-    """Targeted ``ADD PARTITION … LOCATION``; a dropped partition keeps its files
+    """Targeted ``ADD PARTITION`` of every status; a dropped partition keeps its files
     but leaves the table."""
     path = _partitioned_orders(spark, sf)
     db = _db(spark, "addpart")
     t = f"{db}.orders"
     create_external_table(spark, t, "parquet", path, schema=_ORDERS_DDL, partition_by=["o_orderstatus"])
-    add_partitions(spark, t, [({"o_orderstatus": s}, f"{path}/o_orderstatus={s}") for s in ("F", "O", "P")])
+    statuses = load(spark, sf, "orders").select("o_orderstatus").distinct().collect()  # one row per partition
+    add_partitions(spark, t, [(r.asDict(), None) for r in statuses])
     drop_partition(spark, t, {"o_orderstatus": "P"})
     return spark.table(t)
 

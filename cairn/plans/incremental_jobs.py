@@ -28,7 +28,7 @@ _EV_COLS = "event_id, ts, user_id, event_type, value, props"
 def _events_batches(spark, sf, base: str) -> tuple[DataFrame, DataFrame]:
     e = load(spark, sf, "events")
     cut = F.lit(CUT).cast("timestamp_ntz")
-    return e.filter(F.col("ts") < cut), e.filter(F.col("ts") >= cut)
+    return e.filter(F.col("ts") < cut), e.filter((F.col("ts") >= cut) | F.col("ts").isNull())
 
 
 def _land(df: DataFrame, path: str) -> None:
@@ -60,7 +60,7 @@ def _materialise(spark, df: DataFrame) -> DataFrame:
     return read_parquet(spark, path)
 
 
-@query("bookmark_second_run", f"SELECT {_EV_COLS} FROM events WHERE ts >= TIMESTAMP '{CUT}'")
+@query("bookmark_second_run", f"SELECT {_EV_COLS} FROM events WHERE ts >= TIMESTAMP '{CUT}' OR ts IS NULL")
 def bookmark_second_run(spark, sf):
     """Run 1 reads January's first half and commits; run 2 sees only the new file."""
     base, src, state, a, b, schema = _bookmark_setup(spark, sf)
@@ -102,7 +102,7 @@ def bookmark_disabled(spark, sf):
 
 @query("bookmark_paused", f"""
 SELECT 'paused' AS run, {_EV_COLS} FROM events
-UNION ALL SELECT 'next', {_EV_COLS} FROM events WHERE ts >= TIMESTAMP '{CUT}'""")
+UNION ALL SELECT 'next', {_EV_COLS} FROM events WHERE ts >= TIMESTAMP '{CUT}' OR ts IS NULL""")
 def bookmark_paused(spark, sf):
     """Paused: reads all data and leaves the state; the next enabled run
     still sees only what was never committed."""
@@ -160,6 +160,33 @@ def bookmark_by_key(spark, sf):
     return out
 
 
+@query("bookmark_key_paused", """
+SELECT 'paused' AS run, * FROM orders
+UNION ALL SELECT 'next', * FROM orders WHERE o_orderkey > (SELECT MAX(o_orderkey) FROM orders
+   WHERE o_orderkey <= (SELECT MAX(o_orderkey) // 2 FROM orders))""")
+def bookmark_key_paused(spark, sf):
+    """Paused key bookmark: all rows, mark unchanged; the next enabled run
+    reads what lies above the mark."""
+    o = load(spark, sf, "orders")
+    half = o.agg((F.max("o_orderkey") / 2).cast("bigint").alias("h")).first().h
+    base = scratch(spark, "bookmark_key_paused")
+    src, state = f"{base}/orders", f"{base}/state"
+    low = F.coalesce(F.col("o_orderkey") <= half, F.lit(False))
+
+    def run(mode):
+        bm = Bookmark(spark, state, job="orders_load", mode=mode)
+        rows = _materialise(spark, bm.read_by_key(read_parquet(spark, src), "orders", "o_orderkey"))
+        bm.commit()
+        return rows
+
+    write_frame(o.filter(low), src, "parquet", mode="append")
+    run("enable")
+    write_frame(o.filter(~low), src, "parquet", mode="append")
+    paused = run("pause")
+    return (paused.select(F.lit("paused").alias("run"), "*")
+            .unionByName(run("enable").select(F.lit("next").alias("run"), "*")))
+
+
 # -- streaming ----------------------------------------------------------
 
 def _stream_source(spark, sf) -> tuple[str, object]:
@@ -257,14 +284,14 @@ def quality_quarantine(spark, sf):
 SELECT o_orderkey, o_custkey, o_totalprice, NULL::VARCHAR AS o_orderpriority,
        o_orderstatus FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT o_orderkey, o_custkey, NULL, o_orderpriority, o_orderstatus
-FROM orders WHERE o_orderstatus <> 'F'""")
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""")
 def schema_evolution_union(spark, sf):
     """Files written with different columns read as one table (``mergeSchema``)."""
     from cairn.operators.evolution import schema_diff
     o = load(spark, sf, "orders")
     base = scratch(spark, "evolution")
     v1 = o.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    v2 = o.filter("o_orderstatus <> 'F'").select("o_orderkey", "o_custkey", "o_orderpriority",
+    v2 = o.filter(~F.col("o_orderstatus").eqNullSafe("F")).select("o_orderkey", "o_custkey", "o_orderpriority",
                                                  "o_orderstatus")
     write_frame(v1, f"{base}/v1", "parquet")
     write_frame(v2, f"{base}/v2", "parquet")
@@ -277,11 +304,8 @@ def schema_evolution_union(spark, sf):
 # -- slowly changing dimensions -----------------------------------------
 
 @query("scd1", f"""
-SELECT COALESCE(s.c_custkey, t.c_custkey) AS c_custkey, COALESCE(s.c_name, t.c_name) AS c_name,
-       COALESCE(s.c_nationkey, t.c_nationkey) AS c_nationkey,
-       COALESCE(s.c_acctbal, t.c_acctbal) AS c_acctbal,
-       COALESCE(s.c_mktsegment, t.c_mktsegment) AS c_mktsegment
-FROM customer t FULL JOIN {SQL_STAGE} s ON t.c_custkey = s.c_custkey""")
+SELECT * FROM customer t WHERE NOT EXISTS (SELECT 1 FROM {SQL_STAGE} s WHERE s.c_custkey = t.c_custkey)
+UNION ALL SELECT * FROM {SQL_STAGE}""")
 def scd1_q(spark, sf):
     return scd1(load(spark, sf, "customer"), customer_stage(spark, sf), ["c_custkey"])
 
@@ -310,11 +334,12 @@ def scd2_q(spark, sf):
 
 
 @query("scd3", f"""
-SELECT COALESCE(s.c_custkey, t.c_custkey) AS c_custkey, COALESCE(s.c_name, t.c_name) AS c_name,
-       COALESCE(s.c_acctbal, t.c_acctbal) AS c_acctbal,
-       CASE WHEN s.c_acctbal IS NOT NULL AND t.c_acctbal IS NOT NULL
-                 AND t.c_acctbal IS DISTINCT FROM s.c_acctbal THEN t.c_acctbal END AS prev_c_acctbal
-FROM customer t FULL JOIN {SQL_STAGE} s ON t.c_custkey = s.c_custkey""")
+SELECT c_custkey, c_name, c_acctbal, NULL::DOUBLE AS prev_c_acctbal
+FROM customer t WHERE NOT EXISTS (SELECT 1 FROM {SQL_STAGE} s WHERE s.c_custkey = t.c_custkey)
+UNION ALL
+SELECT s.c_custkey, s.c_name, s.c_acctbal,
+       CASE WHEN t.c_acctbal IS DISTINCT FROM s.c_acctbal THEN t.c_acctbal END
+FROM {SQL_STAGE} s LEFT JOIN customer t ON t.c_custkey = s.c_custkey""")
 def scd3_q(spark, sf):
     """Current balance plus the balance it replaced."""
     t = load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -366,15 +391,14 @@ def medallion_gold(spark, sf):
     write_frame(s_o, f"{base}/silver/orders", "parquet")
     sl, so = read_parquet(spark, f"{base}/silver/lineitem"), read_parquet(spark, f"{base}/silver/orders")
     # net revenue per order first (exact units of 1/10,000, map-side partial
-    # sums), so the join and the distinct count see one row per order line
-    # group instead of every line; summing per-order values over the joined
+    # sums), so the join and the count see one row per order instead instead of every line; summing per-order values over the joined
     # rows gives the same total as summing the lines
     units = cents_bigint("l_extendedprice") * (F.lit(100) - cents_bigint("l_discount"))
     per_order = sl.groupBy("l_orderkey").agg(exact_sum(units).alias("net_units"))
     gold = (per_order.join(so, per_order.l_orderkey == so.o_orderkey)
             .groupBy(F.col("o_orderstatus").alias("status"),
                      F.year("o_orderdate").alias("order_year"))
-            .agg(F.count_distinct("o_orderkey").alias("n_orders"),
+            .agg(F.count("o_orderkey").alias("n_orders"),
                  (F.sum("net_units") * F.lit(Decimal("0.0001"))).cast("double")
                  .alias("net_revenue")))
     write_frame(gold, f"{base}/gold/revenue", "parquet")

@@ -155,7 +155,7 @@ def scan_prefix_growth(spark, sf):
               .withColumn("phase", F.lit("before")))
     # state at this moment: one row per status value
     before = spark.createDataFrame(before.collect(), before.schema)
-    write_frame(o.filter("o_orderstatus <> 'F'"), path, "parquet", mode="append")
+    write_frame(o.filter(~F.col("o_orderstatus").eqNullSafe("F")), path, "parquet", mode="append")
     refresh(spark, f"{db}.orders")
     after = (spark.table(f"{db}.orders").groupBy("o_orderstatus")
              .agg(F.count(F.lit(1)).alias("n")).withColumn("phase", F.lit("after")))

@@ -20,11 +20,10 @@ from cairn.session import load
 
 
 def _qty_by_part(spark: SparkSession, sf: str) -> DataFrame:
-    # quantities are summed as BIGINT cents (≤ 5,000 per line: no overflow
-    # for any number of lines) and made exact decimals once per part
+    # BIGINT buffers, exact past the BIGINT range; decimals once per part
     li = load(spark, sf, "lineitem")
     return (li.groupBy("l_partkey")
-            .agg(from_cents(F.sum(cents_bigint("l_quantity"))).alias("qty"),
+            .agg(from_cents(exact_sum(cents_bigint("l_quantity"))).alias("qty"),
                  F.count("l_orderkey").alias("n_lines")))
 
 

@@ -44,19 +44,18 @@ SELECT o_orderkey, o_orderstatus, o_totalprice, NULL::TIMESTAMP AS o_orderdate
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT o_orderkey, o_orderstatus, NULL::DOUBLE AS o_totalprice, o_orderdate
-FROM orders WHERE o_orderstatus <> 'F'""")
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""")
 def union_all(spark: SparkSession, sf: str) -> DataFrame:
     """Union by name of two frames with different columns (missing → NULL)."""
     o = load(spark, sf, "orders")
     a = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    b = o.filter(F.col("o_orderstatus") != "F").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    b = o.filter(~F.col("o_orderstatus").eqNullSafe("F")).select("o_orderkey", "o_orderstatus", "o_orderdate")
     return union_frames(a, b)
 
 
 # Stage of changed and new customers, derived from the customer table itself:
 # building-segment customers get a balance change; automobile-segment customers
-# re-appear as new keys (offset past any existing key).
-_NEW_KEY_OFFSET = 10_000_000_000
+# re-appear as new keys (negated: existing keys are not negative).
 
 
 def customer_stage(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,14 +63,14 @@ def customer_stage(spark: SparkSession, sf: str) -> DataFrame:
     changed = (c.filter(F.col("c_mktsegment") == "BUILDING")
                .withColumn("c_acctbal", F.round(F.col("c_acctbal") + 100.0, 2)))
     new = (c.filter(F.col("c_mktsegment") == "AUTOMOBILE")
-           .withColumn("c_custkey", F.col("c_custkey") + _NEW_KEY_OFFSET))
+           .withColumn("c_custkey", -F.col("c_custkey") - 1))
     return changed.unionByName(new)
 
 
-SQL_STAGE = f"""(SELECT c_custkey, c_name, c_nationkey, ROUND(c_acctbal + 100.0, 2) AS c_acctbal,
+SQL_STAGE = """(SELECT c_custkey, c_name, c_nationkey, ROUND(c_acctbal + 100.0, 2) AS c_acctbal,
         c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
  UNION ALL
- SELECT c_custkey + {_NEW_KEY_OFFSET}, c_name, c_nationkey, c_acctbal, c_mktsegment
+ SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment
  FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"""
 
 

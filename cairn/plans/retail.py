@@ -83,18 +83,21 @@ def order_totals_sql(spark: SparkSession, sf: str) -> DataFrame:
     retail_orders(spark, sf).createOrReplaceTempView("o")
     retail_items(spark, sf).createOrReplaceTempView("oi")
     return spark.sql("""
-        SELECT o.order_id,
-               CAST(sum(CAST(oi.order_item_subtotal AS DECIMAL(38,2))) AS DOUBLE) AS total_sales
-        FROM o INNER JOIN oi ON o.order_id = oi.order_item_order_id
-        GROUP BY o.order_id ORDER BY total_sales DESC, o.order_id""")
+        SELECT o.order_id, CAST(t.total AS DOUBLE) AS total_sales
+        FROM o INNER JOIN (
+            SELECT order_item_order_id, sum(CAST(order_item_subtotal AS DECIMAL(38,2))) AS total
+            FROM oi GROUP BY order_item_order_id) t ON o.order_id = t.order_item_order_id
+        ORDER BY total_sales DESC, o.order_id""")
 
 
 @query("order_totals_df", _ORDER_TOTALS)
 def order_totals_df(spark: SparkSession, sf: str) -> DataFrame:
     o, oi = retail_orders(spark, sf), retail_items(spark, sf)
-    cond = [o.order_id == oi.order_item_order_id]
-    return (o.join(oi, cond, "inner").groupBy(o.order_id)
-            .agg(sum_cents_2dp(oi.order_item_subtotal).alias("total_sales"))
+    # lines summed per order first (map-side partial sums); order ids are unique
+    totals = (oi.groupBy("order_item_order_id")
+              .agg(sum_cents_2dp("order_item_subtotal").alias("total_sales")))
+    return (o.join(totals, o.order_id == totals.order_item_order_id)
+            .select("order_id", "total_sales")
             .orderBy(F.desc("total_sales"), "order_id"))
 
 

@@ -248,10 +248,9 @@ def map_rows_q(spark, sf):
     return map_rows(c, _upper_name, c.schema).frame
 
 
-def _balance_band(pdf):
-    out = pdf[["c_custkey"]].copy()
-    out["band"] = (pdf["c_acctbal"] // 1000).astype("int64")
-    return out
+def _balance_band(records):
+    for r in records:
+        yield {"c_custkey": r["c_custkey"], "band": int(r["c_acctbal"] // 1000)}
 
 
 @query("map_partitions", """
@@ -266,10 +265,9 @@ def map_partitions_index(spark, sf):
     """``mapPartitionsWithIndex``: each row tagged with its partition number."""
     c = load(spark, sf, "customer").select("c_custkey")
 
-    def tag(pid, pdf):
-        out = pdf.copy()
-        out["partition"] = pid
-        return out
+    def tag(pid, records):
+        for r in records:
+            yield {"c_custkey": r["c_custkey"], "partition": pid}
 
     return map_partitions(c, tag, "c_custkey bigint, partition int", with_index=True).frame
 

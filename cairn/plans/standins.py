@@ -73,80 +73,67 @@ SQL_EVENTS_TEXT = """(SELECT event_id, ts, user_id, event_type,
          ELSE CAST(value AS VARCHAR) END AS amount, props FROM events)"""
 
 
-# An order document holds at most about this many items; an
-# order with more lines is split over several documents.
-MAX_ITEMS_PER_DOC = 1000
-
-
-def _doc_part(n_lines):
-    """Document number of a line within its order: spread by part key and
-    line number over ceil(n / MAX_ITEMS_PER_DOC) documents."""
-    parts = F.ceil(n_lines / F.lit(float(MAX_ITEMS_PER_DOC)))
-    return F.pmod(F.col("l_partkey") * 31 + F.col("l_linenumber"), parts)
+def _doc_part():
+    """Document of a line within its order: supplier and ship date, both taken
+    from the line itself, so the document does not depend on how many lines
+    the order has."""
+    return F.concat(F.coalesce(F.col("l_suppkey").cast("string"), F.lit("")), F.lit("-"),
+                    F.coalesce(F.date_format("l_shipdate", "yyyyMMdd"), F.lit("")))
 
 
 def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as documents: customer struct + items array of structs.
 
-    An order-sized frame (order, customer, line count: one row per order)
-    meets the line items in an inner join -- AQE can split a hot order on the
-    line side -- and documents are then built per (order, part) with ``part``
-    from ``_doc_part``, so a document's array stays near
-    ``MAX_ITEMS_PER_DOC`` entries and a hot order's documents spread over
-    many tasks; no later join gathers them by order again. Orders without
-    lines come from the same order-sized frame (one document, no items).
-    Order and customer keys are primary keys. Arrays are sorted by every
-    field (``sort_array``: natural struct order, no per-comparison lambda as
-    in ``array_sort``), so each item's index is deterministic.
+    One document per (order, supplier, ship date); an order without lines is
+    one document with part ``''`` and no items. The line items meet the
+    order-sized frame in an inner join (AQE can split a hot order on the line
+    side) and documents are built per (order, part), which spreads a hot order
+    over many tasks. Order and customer keys are primary keys. Arrays are
+    sorted by every field (``sort_array``: natural struct order), so each
+    item's index is deterministic.
     """
     li = load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    counts = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("n_lines"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+        _doc_part().alias("part"))
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = (o.join(c, o.o_custkey == c.c_custkey, "left")
-              .join(counts, o.o_orderkey == counts.k, "left")
-              .select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_lines"))
-    # (no filter on n_lines here: both branches then share one order-sized
-    # plan, whose exchanges Spark computes once and reuses)
-    lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-             .withColumn("part", _doc_part(F.col("n_lines"))))
+              .select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment"))
     doc_keys = ["o_orderkey", "part", "o_totalprice", "c_name", "c_mktsegment"]
     # cluster on (order, part), not on the order alone
-    docs = (lines.repartition("o_orderkey", "part").groupBy(*doc_keys)
+    docs = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+            .repartition("o_orderkey", "part").groupBy(*doc_keys)
             .agg(F.sort_array(F.collect_list(F.struct(
                 F.col("l_linenumber").alias("line"),
                 F.col("l_partkey").alias("product"),
                 F.col("l_quantity").alias("quantity"),
                 F.col("l_extendedprice").alias("price"),
             ))).alias("items")))
-    no_lines = (orders.filter(F.col("n_lines").isNull())
-                .select("o_orderkey", F.lit(0).cast("bigint").alias("part"), "o_totalprice",
-                        "c_name", "c_mktsegment",
+    with_lines = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    no_lines = (orders.join(with_lines, "o_orderkey", "left_anti")
+                .select("o_orderkey", F.lit("").alias("part"), "o_totalprice", "c_name", "c_mktsegment",
                         F.lit(None).cast(docs.schema["items"].dataType).alias("items")))
-    part = F.col("part").cast("bigint")
     return (docs.unionByName(no_lines)
-            .select(F.concat_ws("/", F.col("o_orderkey").cast("string"), part.cast("string")).alias("doc_id"),
-                    F.col("o_orderkey").alias("order_id"), part.alias("part"),
+            .select(F.concat_ws("/", F.col("o_orderkey").cast("string"), "part").alias("doc_id"),
+                    F.col("o_orderkey").alias("order_id"), "part",
                     F.struct(F.col("c_name").alias("name"),
                              F.col("c_mktsegment").alias("segment")).alias("customer"),
                     F.col("o_totalprice").alias("total"),
                     "items"))
 
 
-# The same documents in DuckDB SQL: line rows with their document number.
-SQL_DOC_LINES = f"""(SELECT l.*, CAST((l_partkey * 31 + l_linenumber)
-      % CAST(ceil(n_lines / {float(MAX_ITEMS_PER_DOC)}) AS BIGINT) AS BIGINT) AS part
-   FROM lineitem l JOIN (SELECT l_orderkey AS k, COUNT(*) AS n_lines FROM lineitem GROUP BY 1) c
-     ON l.l_orderkey = c.k)"""
+# The same documents in DuckDB SQL: line rows with their document.
+SQL_DOC_LINES = """(SELECT l.*, COALESCE(CAST(l_suppkey AS VARCHAR), '') || '-'
+      || COALESCE(strftime(l_shipdate, '%Y%m%d'), '') AS part
+   FROM lineitem l WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
 
-SQL_DOCS = f"""(SELECT CAST(o_orderkey AS VARCHAR) || '/' || CAST(COALESCE(d.part, 0) AS VARCHAR) AS doc_id,
-       o_orderkey AS order_id, CAST(COALESCE(d.part, 0) AS BIGINT) AS part, c_name, c_mktsegment,
+SQL_DOCS = f"""(SELECT CAST(o_orderkey AS VARCHAR) || '/' || COALESCE(d.part, '') AS doc_id,
+       o_orderkey AS order_id, COALESCE(d.part, '') AS part, c_name, c_mktsegment,
        o_totalprice AS total, d.l_orderkey IS NOT NULL AS has_items
    FROM orders LEFT JOIN customer ON o_custkey = c_custkey
    LEFT JOIN (SELECT DISTINCT l_orderkey, part FROM {SQL_DOC_LINES}) d ON o_orderkey = d.l_orderkey)"""
 
-SQL_DOC_ITEMS = f"""(SELECT CAST(l_orderkey AS VARCHAR) || '/' || CAST(part AS VARCHAR) AS id,
+SQL_DOC_ITEMS = f"""(SELECT CAST(l_orderkey AS VARCHAR) || '/' || part AS id,
    CAST(row_number() OVER (PARTITION BY l_orderkey, part
         ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS INTEGER) AS "index",
    l_linenumber AS "items.line", l_partkey AS "items.product",

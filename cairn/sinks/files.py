@@ -37,8 +37,8 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w = w.option("compression", compression)
     if fmt == "csv":
         w = w.option("header", header)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # said outright: a session default must not keep partitions of an overwrite
+    w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     for k, v in options.items():

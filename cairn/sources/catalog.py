@@ -71,7 +71,7 @@ def repair_table(spark: SparkSession, table: str) -> None:
 
 
 def _spec(values: dict) -> str:
-    return ", ".join(f"`{k}` = {_lit(v)}" for k, v in values.items())
+    return ", ".join(f"`{k}` = " + ("NULL" if v is None else _lit(v)) for k, v in values.items())
 
 
 def add_partitions(spark: SparkSession, table: str,
@@ -131,13 +131,16 @@ def detect_format(spark: SparkSession, path: str) -> str:
 
 def crawl(spark: SparkSession, table: str, path: str, csv_options: dict | None = None) -> dict:
     """Crawler: infer format, columns, types and partitions of a folder, then
-    create the table — or re-create it when the inferred schema changed.
-    Returns ``{"format", "action", "partitions"}``."""
+    create the table — or re-create it when the inferred schema changed. The
+    partitions are discovered on every crawl; the action is ``updated`` when
+    the schema or the set of partitions changed. Returns ``{"format", "action", "partitions"}``."""
     fmt = detect_format(spark, path)
     r = spark.read.format(fmt)
     opts = {}
     if fmt == "csv":
         opts = {"header": "true", "inferSchema": "true", **(csv_options or {})}
+    elif fmt in ("parquet", "orc"):
+        r = r.option("mergeSchema", "true")  # columns added by later files
     for k, v in opts.items():
         r = r.option(k, v)
     sample = r.load(path)
@@ -146,7 +149,14 @@ def crawl(spark: SparkSession, table: str, path: str, csv_options: dict | None =
     action = "created"
     if spark.catalog.tableExists(table):
         if spark.table(table).schema.simpleString() == inferred.simpleString():
-            return {"format": fmt, "action": "unchanged", "partitions": part_cols}
+            if part_cols:
+                before = show_partitions(spark, table).count()
+                repair_table(spark, table)
+                if show_partitions(spark, table).count() != before:
+                    action = "updated"
+            refresh(spark, table)
+            return {"format": fmt, "action": "unchanged" if action == "created" else action,
+                    "partitions": part_cols}
         action = "updated"
         drop_table(spark, table)
     create_external_table(spark, table, fmt, path, schema=inferred,
@@ -158,55 +168,93 @@ def crawl(spark: SparkSession, table: str, path: str, csv_options: dict | None =
 
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a folder; every file must sit below the same ones."""
     from cairn.sources.files import list_files
     from pyspark.sql import functions as F
-    base = path.rstrip("/")
-    rel = list_files(spark, path).select(F.col("path")).first()
-    if rel is None:
-        return []
-    p = rel.path
-    idx = p.find(base.split("://")[-1])
-    tail = p[idx + len(base.split("://")[-1]):] if idx >= 0 else p
-    return [seg.split("=", 1)[0] for seg in tail.strip("/").split("/")[:-1] if "=" in seg]
+    base = path.rstrip("/").split("://")[-1]
+    tail = F.expr(f"substring(path, locate({_lit(base)}, path) + {len(base)})")
+    folders = F.split(F.regexp_replace(tail, "/[^/]*$", ""), "/")
+    keys = F.transform(F.filter(folders, lambda f: f.contains("=")),
+                       lambda f: F.substring_index(f, "=", 1))
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    layouts = (list_files(spark, path).filter(~name.startswith("_") & ~name.startswith("."))
+               .select(keys.alias("k")).distinct().limit(2).collect())  # one row when consistent
+    if len(layouts) > 1:
+        raise ValueError(f"files under {path} have different partition columns: "
+                         f"{sorted(r.k for r in layouts)}")
+    return list(layouts[0].k) if layouts else []
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a catalog table, without scheme and host."""
+    row = (spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(table)}")
+           .filter("col_name = 'Location'").select("data_type").first())
+    return _bare(spark, row.data_type)
+
+
+def _bare(spark: SparkSession, path: str) -> str:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()  # noqa: SLF001
+
+
+def _new_columns(spark: SparkSession, table: str, df: DataFrame, path: str, fmt: str,
+                 partition_by: Sequence[str]) -> list[T.StructField]:
+    """Columns of ``df`` that the table lacks; raises, before anything is
+    written, on a change that would hide or misread rows already there."""
+    if table_location(spark, table) != _bare(spark, path):
+        raise ValueError(f"{table} lies at {table_location(spark, table)}, not at {path}")
+    current = spark.table(table).schema
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts != list(partition_by):
+        raise ValueError(f"{table} is partitioned by {parts}, not by {list(partition_by)}")
+    have = {f.name: f.dataType for f in current.fields}
+    for f in df.schema.fields:
+        if f.name in have and have[f.name].simpleString() != f.dataType.simpleString():
+            raise ValueError(f"{table}.{f.name} is {have[f.name].simpleString()}, "
+                             f"not {f.dataType.simpleString()}")
+    if fmt == "csv" and [c for c in current.names if c not in parts] != \
+            [c for c in df.columns if c not in parts]:
+        raise ValueError(f"CSV binds by position: the columns of {table} cannot change")
+    return [f for f in df.schema.fields if f.name not in have]
 
 
 def catalog_sink(df: DataFrame, table: str, path: str, fmt: str = "parquet",
                  partition_by: Sequence[str] | None = None, compression: str = "snappy",
                  update_behavior: str = "UPDATE_IN_DATABASE") -> DataFrame:
     """Write a frame and keep the catalog table in step (``getSink`` with
-    ``enableUpdateCatalog``): the table is created on first write; on later
-    writes only the partitions just written are added (no full-folder
-    listing), and with ``UPDATE_IN_DATABASE`` a changed schema re-creates it.
+    ``enableUpdateCatalog``): the table is created on first write; later
+    writes append, add the partitions just written (no full-folder listing)
+    and, with ``UPDATE_IN_DATABASE``, add new columns to the table. Columns
+    missing from a later frame read as NULL there. Another folder, other
+    partition columns or a changed type raise before anything is written.
 
     The written partition values are an observed metric of the write job
     itself (``observe`` + ``collect_set``, merged across tasks; one entry per
-    partition), so the input is computed once, not again for a ``distinct``."""
+    partition), so the input is computed once, not again for a ``distinct``.
+    They are kept as the text the writer names folders with; the empty text
+    and NULL both go to Spark's default partition."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
     spark = df.sparkSession
+    partition_by = list(partition_by or [])
+    exists = spark.catalog.tableExists(table)
+    added = _new_columns(spark, table, df, path, fmt, partition_by) if exists else []
     obs = None
     if partition_by:
         obs = Observation(f"written_{table}")
-        df = df.observe(obs, F.collect_set(F.struct(*partition_by)).alias("parts"))
-    write_frame(df, path, fmt, mode="append", partition_by=partition_by,
+        values = [F.nullif(F.col(f"`{p}`").cast("string"), F.lit("")).alias(p) for p in partition_by]
+        df = df.observe(obs, F.collect_set(F.struct(*values)).alias("parts"))
+    write_frame(df, path, fmt, mode="append", partition_by=partition_by or None,
                 compression=compression, dynamic=False)
-    exists = spark.catalog.tableExists(table)
-    if exists and update_behavior == "UPDATE_IN_DATABASE":
-        current = spark.table(table)
-        if set(current.columns) != set(df.columns):
-            drop_table(spark, table)
-            exists = False
     if not exists:
-        data_cols = [f for f in df.schema.fields if f.name not in (partition_by or [])]
-        part_fields = [df.schema[p] for p in (partition_by or [])]
+        data_cols = [f for f in df.schema.fields if f.name not in partition_by]
+        part_fields = [df.schema[p] for p in partition_by]
         create_external_table(spark, table, fmt, path, schema=T.StructType(data_cols + part_fields),
-                              partition_by=partition_by)
-    if partition_by:
-        written = obs.get["parts"]  # one entry per written partition
-        specs = [({p: r[p] for p in partition_by},
-                  path.rstrip("/") + "/" + "/".join(f"{p}={r[p]}" for p in partition_by))
-                 for r in written]
-        if specs:
-            add_partitions(spark, table, specs)
+                              partition_by=partition_by or None,
+                              options={"header": "true"} if fmt == "csv" else None)
+    elif added and update_behavior == "UPDATE_IN_DATABASE":
+        spark.sql(f"ALTER TABLE {_ident(table)} ADD COLUMNS ({schema_ddl(T.StructType(added))})")
+    if partition_by and obs.get["parts"]:
+        # no LOCATION: Spark derives the escaped folder names itself
+        add_partitions(spark, table, [({p: r[p] for p in partition_by}, None) for r in obs.get["parts"]])
     refresh(spark, table)
     return spark.table(table)

@@ -242,8 +242,127 @@ def test_catalog_sink_adds_partitions_and_follows_schema(spark, tmp):
     catalog_sink(b, t, f"{tmp}/out", partition_by=["p"])
     assert spark.table(t).count() == 15 and show_partitions(spark, t).count() == 3
     c = spark.range(15, 17).select("id", F.lit("x").alias("extra"), F.lit(7).cast("bigint").alias("p"))
-    catalog_sink(c, t, f"{tmp}/out2", partition_by=["p"])
+    catalog_sink(c, t, f"{tmp}/out", partition_by=["p"])
     assert "extra" in spark.table(t).columns
+    assert spark.table(t).count() == 17 and spark.table(t).filter("extra = 'x'").count() == 2
+    catalog_sink(a, t, f"{tmp}/out", partition_by=["p"])  # a missing column reads as NULL
+    assert spark.table(t).count() == 27 and "extra" in spark.table(t).columns
+    with pytest.raises(ValueError):
+        catalog_sink(a, t, f"{tmp}/elsewhere", partition_by=["p"])
+    with pytest.raises(ValueError):
+        catalog_sink(a.withColumn("id", F.lit("t")), t, f"{tmp}/out", partition_by=["p"])
+    assert spark.table(t).count() == 27
+
+
+def test_catalog_sink_keeps_odd_partition_values(spark, tmp):
+    from cairn.sources.catalog import catalog_sink
+    db = unique_name("odd")
+    create_database(spark, db)
+    rows = [(1, "a b"), (2, "x:y"), (3, None), (4, "50%"), (5, "ok"), (6, "a=b/c'd")]
+    df = spark.createDataFrame(rows, "id int, p string")
+    out = catalog_sink(df, f"{db}.t", f"{tmp}/out", partition_by=["p"])
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+    dates = spark.createDataFrame([(1, "2024-01-01"), (2, None)], "id int, d string").select(
+        "id", F.col("d").cast("date").alias("d"))
+    assert catalog_sink(dates, f"{db}.d", f"{tmp}/dates", partition_by=["d"]).count() == 2
+
+
+def test_second_crawl_finds_new_partitions_and_columns(spark, tmp):
+    from cairn.sources.catalog import crawl
+    db = unique_name("cr")
+    create_database(spark, db)
+    spark.range(1).withColumn("p", F.lit("a")).write.partitionBy("p").parquet(f"{tmp}/c")
+    assert crawl(spark, f"{db}.t", f"{tmp}/c")["action"] == "created"
+    spark.range(1).withColumn("p", F.lit("b")).write.mode("append").partitionBy("p").parquet(f"{tmp}/c")
+    assert crawl(spark, f"{db}.t", f"{tmp}/c")["action"] == "updated"
+    assert spark.table(f"{db}.t").count() == 2
+    assert crawl(spark, f"{db}.t", f"{tmp}/c")["action"] == "unchanged"
+    (spark.range(1).withColumn("x", F.lit(1)).withColumn("p", F.lit("c"))
+     .write.mode("append").partitionBy("p").parquet(f"{tmp}/c"))
+    assert crawl(spark, f"{db}.t", f"{tmp}/c")["action"] == "updated"
+    assert spark.table(f"{db}.t").count() == 3 and "x" in spark.table(f"{db}.t").columns
+
+
+def test_key_bookmark_mark_is_fixed_at_read(spark, tmp):
+    from cairn.incremental.bookmark import Bookmark
+    src = f"{tmp}/src"
+
+    def read(mode="enable", late=None):
+        bm = Bookmark(spark, f"{tmp}/state", "j", mode=mode)
+        got = sorted(r.id for r in bm.read_by_key(spark.read.schema("id bigint").parquet(src), "s", "id").collect())
+        if late is not None:  # arrives between the sink and the commit
+            spark.range(late, late + 1).write.mode("append").parquet(src)
+        bm.commit()
+        return got
+
+    spark.range(3).write.parquet(src)
+    assert read(late=7) == [0, 1, 2]
+    assert read("pause") == [0, 1, 2, 7]
+    assert read() == [7] and read() == []
+
+
+def test_row_functions_keep_values_and_records(spark):
+    from cairn.operators.rowfn import map_partitions, map_rows, spigot
+    from cairn.operators.shape import filter_rows
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, 1.0), (None, float("nan")), (5, 2.0)], "id bigint, v double").coalesce(1)
+    assert {r.id for r in filter_rows(df, lambda p: p["id"].isna() | (p["id"] > 5)).collect()} == {big, None}
+
+    def fail_on_five(r):
+        if r["id"] == 5 or (r["id"] is None and r["v"] != r["v"]):
+            raise ValueError("no")
+        return r
+
+    m = map_rows(df, fail_on_five, df.schema)
+    assert [r.id for r in m.frame.collect()] == [big]
+    assert {(r.message, r.record) for r in m.errors.collect()} == {
+        ("ValueError: no", '{"id": 5, "v": 2.0}'), ("ValueError: no", '{"id": null, "v": "nan"}')}
+
+    bad = map_rows(df, lambda r: {"id": "text" if r["id"] == 5 else r["id"]}, "id bigint")
+    assert bad.frame.count() == 2 and bad.errors.first().record == '{"id": 5, "v": 2.0}'
+
+    many = spark.range(25000).coalesce(1)
+    one = map_partitions(many, lambda recs: [{"n": sum(1 for _ in recs)}], "n bigint")
+    assert [r.n for r in one.frame.collect()] == [25000]
+
+    def halve(recs):
+        for r in recs:
+            yield {"n": r["id"] // (0 if r["id"] == 12345 else 2)}
+
+    half = map_partitions(many, halve, "n bigint")
+    assert half.frame.count() == 24999 and half.errors.first().record == '{"id": 12345}'
+
+    def broken(recs):
+        raise RuntimeError("at once")
+
+    assert map_partitions(many, broken, "n bigint").errors.count() == 25000
+    for kw in ({}, {"fraction": 0.5, "top": 3}):
+        with pytest.raises(ValueError):
+            spigot(df, "unused", **kw)
+
+
+def test_null_rules(spark, tmp):
+    from cairn.operators.quality import quality_report, quarantine, unique
+    from cairn.operators.rows import merge_upsert
+    from cairn.operators.scd import scd1, scd3
+    from cairn.operators.nested import relationalize
+    from cairn.sinks.files import write_frame
+    t = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, v int")
+    s = spark.createDataFrame([(1, None), (3, None)], "k int, v int")
+    assert sorted(map(tuple, scd1(t.filter("k > 0"), s, ["k"]).collect())) == [(1, None), (2, 20), (3, None)]
+    assert {tuple(r) for r in scd3(t.filter("k > 0"), s, ["k"], "v").collect()} == {
+        (1, None, 10), (2, 20, None), (3, None, None)}
+    assert merge_upsert(t, t, ["k"]).count() == 3
+    d = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
+    assert quality_report(d, [unique("k")]).first().n_failed == 2
+    good, bad = quarantine(d, [unique("k")])
+    assert good.count() == 1 and bad.count() == 2
+    write_frame(t, f"{tmp}/o", partition_by=["v"])
+    write_frame(t.filter("v = 10"), f"{tmp}/o", partition_by=["v"])
+    assert spark.read.parquet(f"{tmp}/o").count() == 1
+    clash = spark.sql("select 1 as id, named_struct('b', array(1)) as a, array(2) as a_b")
+    with pytest.raises(ValueError):
+        relationalize(clash, "r", key="id")
 
 
 def test_error_count_observed_by_the_write(spark, tmp):

@@ -129,16 +129,30 @@ def test_file_grouping_changes_scan_tasks(spark, tmp):
     assert spread > grouped
 
 
-def test_hot_order_is_split_into_bounded_documents(spark):
-    """An order holding many lines becomes several documents of ≤ ~1000 items."""
-    from cairn.plans.standins import MAX_ITEMS_PER_DOC, _doc_part
-    lines = spark.range(3500).select(F.lit(1).alias("l_orderkey"), F.col("id").alias("l_partkey"),
-                                     (F.col("id") % 7 + 1).alias("l_linenumber"))
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    parts = (lines.join(counts, "l_orderkey").withColumn("part", _doc_part(F.col("n_lines")))
-             .groupBy("part").count().collect())
-    assert len(parts) == 4
-    assert max(r["count"] for r in parts) <= MAX_ITEMS_PER_DOC
+def test_documents_depend_on_the_row_alone(spark, tmp):
+    """3,500 lines of one order: the documents are the (supplier, date) pairs,
+    and a few of the lines alone get the same documents."""
+    from cairn.plans.standins import nested_orders
+    lines = spark.range(3500).select(
+        F.lit(1).cast("bigint").alias("l_orderkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        F.col("id").alias("l_partkey"), F.lit(1.0).alias("l_quantity"),
+        F.lit(2.0).alias("l_extendedprice"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("l_suppkey"),
+        F.timestamp_add("DAY", (F.col("id") % 2).cast("int"), F.lit("2024-01-01").cast("timestamp"))
+        .alias("l_shipdate"))
+    spark.range(1, 3).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"),
+                             F.lit(5.0).alias("o_totalprice")).write.parquet(f"{tmp}/orders.parquet")
+    spark.createDataFrame([(1, "c", "m")], "c_custkey bigint, c_name string, c_mktsegment string") \
+        .write.parquet(f"{tmp}/customer.parquet")
+    lines.write.parquet(f"{tmp}/lineitem.parquet")
+    docs = {r.doc_id: r["items"] for r in nested_orders(spark, tmp).collect()}
+    assert len(docs) == 7 and docs["2/"] is None
+    assert sum(len(v) for v in docs.values() if v) == 3500 and "1/-20240101" in docs
+    few = tmp + "_few"
+    for t in ("orders", "customer"):
+        spark.read.parquet(f"{tmp}/{t}.parquet").write.parquet(f"{few}/{t}.parquet")
+    lines.filter("l_partkey < 6").write.parquet(f"{few}/lineitem.parquet")
+    assert {r.doc_id for r in nested_orders(spark, few).collect()} == docs.keys()
 
 
 @settings(max_examples=10, deadline=None)
