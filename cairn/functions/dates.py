@@ -38,8 +38,9 @@ def run_date(run_date_text: str | None = None) -> Column:
 
 
 def date_folders(ts) -> list[Column]:
-    """Zero-padded ``year``, ``month``, ``day`` folder values of a timestamp."""
-    t = _c(ts)
+    """Zero-padded ``year``, ``month``, ``day`` folder values of a timestamp;
+    text that is no timestamp gives NULL (the default partition)."""
+    t = _c(ts).try_cast("timestamp")
     return [F.date_format(t, "yyyy").alias("year"),
             F.date_format(t, "MM").alias("month"),
             F.date_format(t, "dd").alias("day")]

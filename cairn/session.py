@@ -100,8 +100,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator (a shared file system all
-    executors see). Only when it is unset -- local runs and tests -- a private
-    folder is created and registered, so later calls agree on it.
+    executors see); unset on a cluster, this raises. Only in local runs and
+    tests a private folder is created and registered, so later calls agree on it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -114,6 +114,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # unset
             conf = None
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="cairn-ckpt-")
     sc.setCheckpointDir(conf)
     # Spark appends a per-application folder; use that one.
