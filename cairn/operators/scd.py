@@ -20,11 +20,25 @@ def _changed(t: DataFrame, s: DataFrame, attrs: Sequence[str]):
     return cond
 
 
+def _one_change(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One change per key: equal rows count once, different ones raise when the
+    result is computed. Combined map-side, and on the join's own partitioning."""
+    rest = [c for c in changes.columns if c not in keys]
+    if not rest:
+        return changes.distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    least, most = F.col("_least"), F.col("_most")
+    one = F.when(least.eqNullSafe(most), least).otherwise(
+        F.raise_error(F.lit(f"different changes for one key of {', '.join(keys)}")))
+    return (changes.groupBy(*keys).agg(F.min(row).alias("_least"), F.max(row).alias("_most"))
+            .select(*keys, one.alias("_row")).select(*keys, "_row.*"))
+
+
 def scd1(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Type 1: overwrite attributes in place (also with NULL); new keys inserted."""
     keys = list(keys)
     attrs = [c for c in target.columns if c not in keys]
-    t, s = target.alias("t"), changes.withColumn("_staged", F.lit(True)).alias("s")
+    t, s = target.alias("t"), _one_change(changes, keys).withColumn("_staged", F.lit(True)).alias("s")
     j = t.join(s, keys, "full")
     staged = F.col("s._staged").isNotNull()
     return j.select(*keys, *[F.when(staged, F.col(f"s.{a}")).otherwise(F.col(f"t.{a}")).alias(a)
@@ -42,7 +56,8 @@ def scd2(history: DataFrame, changes: DataFrame, keys: Sequence[str], attrs: Seq
     cur = history.filter(F.col(current_col))
     old = history.filter(~F.col(current_col))
     t = cur.alias("t")
-    s = changes.select(*keys, *attrs, F.lit(True).alias("_staged")).alias("s")
+    s = (_one_change(changes.select(*keys, *attrs), keys)
+         .withColumn("_staged", F.lit(True)).alias("s"))
     j = t.join(s, keys, "full")
     present_t = F.col(f"t.{current_col}").isNotNull()
     present_s = F.col("s._staged").isNotNull()
@@ -79,7 +94,7 @@ def scd3(target: DataFrame, changes: DataFrame, keys: Sequence[str], attr: str,
         target = target.withColumn(prev_col, F.lit(None).cast(target.schema[attr].dataType))
     others = [c for c in target.columns if c not in keys and c not in (attr, prev_col)]
     t = target.withColumn("_known", F.lit(True)).alias("t")
-    s = changes.withColumn("_staged", F.lit(True)).alias("s")
+    s = _one_change(changes, keys).withColumn("_staged", F.lit(True)).alias("s")
     j = t.join(s, keys, "full")
     sv, tv = F.col(f"s.{attr}"), F.col(f"t.{attr}")
     staged = F.col("s._staged").isNotNull()

@@ -352,7 +352,16 @@ def test_null_rules(spark, tmp):
     assert sorted(map(tuple, scd1(t.filter("k > 0"), s, ["k"]).collect())) == [(1, None), (2, 20), (3, None)]
     assert {tuple(r) for r in scd3(t.filter("k > 0"), s, ["k"], "v").collect()} == {
         (1, None, 10), (2, 20, None), (3, None, None)}
+    assert scd1(t, s.union(s), ["k"]).count() == 4  # equal changes count once
+    two = spark.createDataFrame([(1, 5), (1, 6)], "k int, v int")
+    for run in (lambda: scd1(t, two, ["k"]), lambda: scd3(t, two, ["k"], "v")):
+        with pytest.raises(Exception, match="different changes"):
+            run().collect()
     assert merge_upsert(t, t, ["k"]).count() == 3
+    from cairn.functions.dates import date_folders
+    texts = spark.createDataFrame([("2024-03-05",), ("no date",)], "d string")
+    assert [tuple(r) for r in texts.select(*date_folders("d")).collect()] == [
+        ("2024", "03", "05"), (None, None, None)]
     d = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
     assert quality_report(d, [unique("k")]).first().n_failed == 2
     good, bad = quarantine(d, [unique("k")])
