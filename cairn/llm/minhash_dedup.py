@@ -217,18 +217,20 @@ def _apart(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _within(groups: DataFrame, linked: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between different components inside groups (id, group).
+    """Links (a, b) between different components inside groups (id, group, star),
+    where star names the documents that stars alone connect.
 
     Members of a group's largest component are met by the others only. Both
     sides are dealt into blocks of about TOKENS shingles; a task holds two
     blocks, compares full sets, and returns for each minor member one link per
     component, the smallest.
     """
-    nodes = groups.join(linked, "id", "left").select("id", "group", F.coalesce("component", "id").alias("component"))
-    parts = nodes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
-    many = parts.groupBy("group").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", F.negative("component").alias("c"))).alias("top"))
-    # two documents have been compared already
-    many = many.where("parts > 1 AND n > 2").select("group", F.negative("top.c").alias("main"))
+    nodes = groups.join(linked, "id", "left").select("id", "group", "star", F.coalesce("component", "id").alias("component"))
+    parts = nodes.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.min("star").alias("s0"), F.max("star").alias("s1"))
+    many = parts.groupBy("group").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", F.negative("component").alias("c"))).alias("top"), F.min("s0").alias("s0"), F.max("s1").alias("s1"))
+    # a pair of one star has been confirmed or refused in the first round; one
+    # that was met in a bucket only joins two stars, and is still to be compared
+    many = many.where("parts > 1 AND (n > 2 OR s0 <> s1)").select("group", F.negative("top.c").alias("main"))
     nodes = stored(nodes.join(many, "group").select("id", "group", "component", (F.col("component") != F.col("main")).alias("minor")), "group-members")
 
     def to_sets(batches):
@@ -320,7 +322,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     near = components(star)
     named = members.join(near, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     more = stored(_apart(named, sets, least), "more")
-    near = components(star.select("a", "b").union(more)).withColumnRenamed("component", "group")
+    whole = components(star.select("a", "b").union(more)).withColumnRenamed("component", "group")
+    near = whole.join(near, "id", "left").select("id", "group", F.coalesce("component", "id").alias("star"))
     links = stored(links.union(_within(near, joined, docs, shingle, percent)), "links")
     linked = components(links.union(copies))
     out = every.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left")

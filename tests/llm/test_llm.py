@@ -99,6 +99,14 @@ def test_minhash_group_of_loose_copies(spark):
     assert got == [(k, find(k)) for k in range(60)]
 
 
+def test_minhash_group_of_two_that_no_star_holds(spark):
+    docs = spark.createDataFrame([(1, " ".join(BASE)), (2, " ".join(NEAR)), (3, " ".join(BASE)), (4, LONG)], "doc_id long, text string")
+    # 1 and 2 met in a bucket, beside its smallest document; 3 and 4 are apart
+    groups = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 3, 3), (4, 3, 4)], "id long, group long, star long")
+    linked = spark.createDataFrame([], "id long, component long")
+    assert [tuple(r) for r in minhash_dedup._within(groups, linked, docs, 2, 80).collect()] == [(1, 2)]
+
+
 def test_embeddings_match_brute_force(spark):
     r = np.random.default_rng(1)
     centre = r.standard_normal((30, 16))
