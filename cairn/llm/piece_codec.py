@@ -46,8 +46,6 @@ class Codec:
 
     def _segment(self, chunks: list[str]) -> None:
         """Adds chunks to the table, in one call of the library."""
-        if len(self.table) + len(chunks) > TABLE_CHUNKS:
-            self.table.clear()
         mark = self.model.piece_to_id(MARK)
         # the library puts a marker before what it encodes: one is taken off a
         # run of markers, or is dropped again before a line feed
@@ -65,10 +63,13 @@ class Codec:
             try:
                 ids = b"".join([self.table[c] for c in chunks])
             except KeyError:
-                # the table may start anew here: all of this text's chunks go in
-                self._segment([c for c in dict.fromkeys(chunks) if c not in self.table])
-                if any(c not in self.table for c in chunks):
-                    self._segment([c for c in dict.fromkeys(chunks) if c not in self.table])
+                distinct = dict.fromkeys(chunks)
+                fresh = [c for c in distinct if c not in self.table]
+                if len(self.table) + len(fresh) > TABLE_CHUNKS:
+                    # a new table takes all of this text's chunks, however many
+                    self.table.clear()
+                    fresh = list(distinct)
+                self._segment(fresh)
                 ids = b"".join([self.table[c] for c in chunks])
             out.append(np.frombuffer(ids, dtype="<i4"))
         return out

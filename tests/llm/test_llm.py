@@ -226,6 +226,13 @@ def test_pieces_match_the_library(docs):
     assert round_trip[8] == LONG and round_trip[0] == ""
 
 
+def test_pieces_of_a_text_larger_than_the_table(monkeypatch):
+    monkeypatch.setattr(piece_codec, "TABLE_CHUNKS", 50)
+    codec = piece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["alta one", " ".join(["alta", *words(300, 6)]), "one alta", " ".join(words(40, 7))]
+    assert [x.tolist() for x in codec.encode(texts)] == codec.model.encode(texts)
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
