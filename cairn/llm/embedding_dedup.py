@@ -6,6 +6,12 @@ that share a leaf in any tree are compared exactly. A pair that meets in
 several leaves is counted in the first of them only, and a leaf returns counts
 per vector and the links of its local components' stars, never its pairs.
 
+Splits would part most pairs of a large tight group, so dense places are taken
+out first: around a pivot, a sampled vector with many near ones, the vectors
+near the pivot (the core of a cell) are compared in blocks with all that may
+be near one of them, which are those within twice the angle of the pivot. So
+all links of a core vector are found, and the trees hold the other vectors.
+
 Directions belong to a level of a tree. Split points come from a bounded
 sample per label; below the nodes that the sample resolves, a node goes on
 with the split points of its nearest resolved ancestor, so trees get as deep
@@ -34,6 +40,9 @@ SPILL = 0.09
 #: Vectors of the sample that fits the split points, over all labels, and the
 #: fewest sampled vectors that a node needs for a split of its own.
 SAMPLE, RESOLVED = 20_000, 64
+#: Leaves that the vectors near a pivot would fill at least, as the sample has
+#: it; the fewest sampled vectors that tell so; rows of a cell compared at once.
+DENSE, TOLD, CELL = 2, 4, 2048
 
 
 def _direction(tree: int, level: int, width: int) -> np.ndarray:
@@ -97,6 +106,57 @@ def _unit(vectors) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def _pivots(sample: np.ndarray, cosine: float, least: int) -> np.ndarray:
+    """Sampled vectors with ``least`` or more near ones that are near no earlier pivot."""
+    def near(own):
+        found = np.zeros(len(sample), np.int64)
+        for at in range(0, len(own), 256):
+            found += np.count_nonzero(sample @ own[at:at + 256].T >= cosine, axis=1)
+        return found
+
+    count, free, picked = near(sample), np.ones(len(sample), bool), []
+    while len(sample) and count.max() >= least:
+        top = int(count.argmax())
+        own = free & (sample @ sample[top] >= cosine)
+        picked.append(top)
+        count -= near(sample[own])
+        count[top] = 0
+        free &= ~own
+    return sample[picked]
+
+
+def _cells(v: np.ndarray, pivots: np.ndarray, cosine: float) -> tuple[np.ndarray, list[list[int]]]:
+    """The cell whose core holds a row, or -1, and the cells that it is compared in."""
+    s = v @ pivots.T
+    home = np.where(s.max(axis=1) >= cosine, s.argmax(axis=1), -1)
+    # angles add up: what is near a core vector is within twice the angle
+    wide = 2 * cosine * cosine - 1 - 1e-9 if cosine > 0 else -2
+    return home, [np.flatnonzero(x).tolist() for x in s >= wide]
+
+
+def _links_in_cell(table: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, links counted here, smallest linked id of its local component)."""
+    ids, n, home = (table.column(c).to_numpy() for c in ("id", "n", "home"))
+    left = table.column("left").to_numpy(zero_copy_only=False)
+    own, other = np.flatnonzero(left), np.flatnonzero(~left)
+    if not len(own) or not len(other):
+        return (np.empty(0, np.int64),) * 3
+    v = _unit(np.stack([np.frombuffer(x, np.float64) for x in table.column("v").to_pylist()]))
+    hits = (v[own] @ v[other].T >= cosine) & (ids[own][:, None] != ids[other])
+    a, b, none = ids[own], ids[other], np.iinfo(np.int64).max
+    while True:
+        low = np.minimum(a, np.where(hits, b, none).min(axis=1))
+        back = np.minimum(b, np.where(hits, low[:, None], none).min(axis=0))
+        if (low == a).all() and (back == b).all():
+            break
+        a, b = low, back
+    # a core vector counts its links in its own cell, and those of the others there
+    weight = hits.astype(np.float64)
+    count = np.concatenate([weight @ n[other], np.where(home[other] < 0, n[own] @ weight, 0)]).astype(np.int64)
+    hit = np.concatenate([hits.any(axis=1), hits.any(axis=0)])
+    return np.concatenate([ids[own], ids[other]])[hit], count[hit], np.concatenate([a, b])[hit]
+
+
 def _links_in_block(table: pa.Table, cosine: float) -> tuple[list, list, list]:
     """(id, links counted here, smallest linked id of its local component)."""
     ids, i, weight = (table.column(c).to_numpy() for c in ("id", "i", "n"))
@@ -140,6 +200,35 @@ def _links_in_block(table: pa.Table, cosine: float) -> tuple[list, list, list]:
     return ids[hit].tolist(), count[hit].tolist(), ids[component[hit]].tolist()
 
 
+def _dense(settled: DataFrame, cosine: float) -> DataFrame:
+    """Rows (id, links, low) of the links that core vectors have.
+
+    A cell's core and all its vectors are dealt into blocks; a task compares
+    one block of each.
+    """
+    rows = settled.withColumn("cell", F.explode("cells")).drop("cells")
+    blocks = lambda c: F.greatest(F.ceil(c / CELL), F.lit(1)).cast("int")
+    size = rows.groupBy("label", "width", "cell").agg(blocks(F.count(F.when(F.col("home") == F.col("cell"), 1))).alias("k"), blocks(F.count(F.lit(1))).alias("m"))
+    rows = rows.join(size, ["label", "width", "cell"])
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("j", deal("m")).withColumn("left", F.lit(False))
+    core = rows.where("home = cell").withColumn("i", deal("k")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("left", F.lit(True))
+
+    def to_bytes(batches):
+        for b in batches:
+            v = pa.array([np.array(x, np.float64).tobytes() for x in b.column("v").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([v if c == "v" else b.column(c) for c in b.schema.names], b.schema.names)
+
+    def compare(table):
+        ids, count, low = _links_in_cell(table, cosine)
+        return pa.table({"id": pa.array(ids, pa.int64()), "links": pa.array(count, pa.int64()), "low": pa.array(low, pa.int64())})
+
+    both = every.unionByName(core).select("label", "width", "cell", "i", "j", "left", "id", "n", "home", "v")
+    kind = settled.schema["label"].dataType.simpleString()
+    both = map_arrow(both, to_bytes, f"label {kind}, width int, cell int, i int, j int, left boolean, id long, n long, home int, v binary")
+    return both.groupBy("label", "width", "cell", "i", "j").applyInArrow(compare, "id long, links long, low long")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
@@ -156,17 +245,45 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES)
     real = every.where(good)
     groups = real.groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
     groups = stored(groups.select("label", "v", F.size("v").alias("width"), "id", "n"), "vectors")
-    sizes = groups.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n"))
     # the sample: the vectors with the smallest hashes, at most SAMPLE
     picked = groups.select("label", "width", "v").orderBy(F.xxhash64("v"), "label").limit(SAMPLE)
     by_label: dict = {}
     for r in picked.toLocalIterator():
         by_label.setdefault((r["label"], r["width"]), []).append(r["v"])
-    top = sizes.agg(F.max("n")).first()[0] or 0
+    by_label = {key: _unit(sampled) for key, sampled in by_label.items()}
+    share = min(1.0, SAMPLE / max(groups.count(), 1))
+    pivots = {key: p for key, sample in by_label.items() if len(p := _pivots(sample, cosine, max(TOLD, int(np.ceil(DENSE * LEAF * share)))))}
+
+    def settle(batches):
+        for b in batches:
+            labels, widths = b.column("label").to_pylist(), b.column("width").to_pylist()
+            v = b.column("v").to_pylist()
+            rows: dict = {}
+            for r, key in enumerate(zip(labels, widths, strict=True)):
+                rows.setdefault(key, []).append(r)
+            home, cells = np.full(len(v), -1, np.int32), [[] for _ in v]
+            for key, own in rows.items():
+                if key in pivots:
+                    home[own], found = _cells(_unit([v[r] for r in own]), pivots[key], cosine)
+                    for r, x in zip(own, found, strict=True):
+                        cells[r] = x
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("label", "width", "id", "n", "v")), pa.array(home), pa.array(cells, pa.list_(pa.int32()))],
+                                             ["label", "width", "id", "n", "v", "home", "cells"])
+
+    label_type = groups.schema["label"].dataType.simpleString()
+    if pivots:
+        settled = stored(map_arrow(groups.select("label", "width", "id", "n", "v"), settle,
+                                   f"label {label_type}, width int, id long, n long, v array<double>, home int, cells array<int>"), "cells")
+        rest = settled.where("home < 0").select("label", "width", "id", "n", "v")
+    else:
+        rest = groups.select("label", "width", "id", "n", "v")
+    top = rest.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     depth_of = lambda n: max(0, int(np.ceil(np.log2(max(n, 1) / LEAF))))
     fitted = {}
-    for key, sampled in by_label.items():
-        fitted[key] = _fit(_unit(sampled), depth_of(top), trees)
+    for key, sample in by_label.items():
+        loose = sample[_cells(sample, pivots[key], cosine)[0] < 0] if key in pivots else sample
+        if len(loose):
+            fitted[key] = _fit(loose, depth_of(top), trees)
     depth = depth_of(top)
 
     def assign(batches):
@@ -188,8 +305,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES)
                  pa.array([np.array(x, np.float64).tobytes() for x in v], pa.binary()), pa.array(out, pa.list_(pa.int64()))],
                 ["label", "width", "id", "n", "v", "leaves"])
 
-    label_type = groups.schema["label"].dataType.simpleString()
-    placed = stored(map_arrow(groups.select("label", "width", "id", "n", "v"), assign,
+    placed = stored(map_arrow(rest, assign,
                               f"label {label_type}, width int, id long, n long, v binary, leaves array<long>"), "leaves")
     rows = placed.withColumn("leaf", F.explode("leaves"))
     size = rows.groupBy("label", "width", "leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -204,7 +320,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES)
         return pa.table({"id": pa.array(ids, pa.int64()), "links": pa.array(count, pa.int64()), "low": pa.array(low, pa.int64())})
 
     ship(vectors.sparkSession)
-    found = stored(rows.groupBy("label", "width", "leaf", "lo", "hi").applyInArrow(compare, "id long, links long, low long"), "links")
+    found = rows.groupBy("label", "width", "leaf", "lo", "hi").applyInArrow(compare, "id long, links long, low long")
+    if pivots:
+        found = found.union(_dense(settled, cosine))
+    found = stored(found, "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     # vectors equal to a group's vector: the group's links, and its other copies
     copies = real.join(groups.select("label", "v", "id", "n"), ["label", "v"])

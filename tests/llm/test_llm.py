@@ -128,6 +128,25 @@ def test_embeddings_match_brute_force(spark):
     assert embedding_dedup.near_vectors(df.where("vec_id < -1")).count() == 0
 
 
+def test_embeddings_of_a_large_tight_group(spark, monkeypatch):
+    # leaves of 16 make two groups of 600 as large as ones of 19,200 are for leaves of 512
+    monkeypatch.setattr(embedding_dedup, "LEAF", 16)
+    r = np.random.default_rng(3)
+    v = np.concatenate([c + s * r.standard_normal((600, 16)) for c, s in zip(r.standard_normal((2, 16)), (0.15, 0.25))] + [r.standard_normal((100, 16))])
+    v = v.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(k, x.tolist(), 0) for k, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embedding_dedup.near_vectors(df).collect()}
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    near = u @ u.T >= 0.93
+    low = np.arange(len(v))
+    while (new := np.where(near, low, len(v)).min(axis=1)).tolist() != low.tolist():
+        low = new
+    core = embedding_dedup._cells(u, embedding_dedup._pivots(u, 0.93, 32), 0.93)[0] >= 0
+    assert core.sum() > 900
+    assert all(got[k] == (near[k].sum() - 1, low[k]) for k in np.flatnonzero(core))
+    assert sum(x for x, _ in got.values()) >= 0.99 * (near.sum() - len(v))
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
