@@ -334,6 +334,26 @@ def test_licenses(docs, spark):
         assert license_scan.identify(text)[2] == []
 
 
+GPL3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+
+
+def test_licenses_of_wrapped_notices(spark):
+    import textwrap
+
+    want = [*license_scan.TEMPLATES, ("GPL-3.0", GPL3)]
+    rows = [(k, "code\n\n" + textwrap.fill(t, 72, initial_indent=" * ", subsequent_indent=" * ") + "\n\ncode") for k, (_, t) in enumerate(want)]
+    got = sorted(tuple(r)[:4] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # the GPL-3 notice goes on for a line after the template's wording
+    assert got == [(k, 2, rows[k][1].count("\n") - 2 - (k == 15), name) for k, (name, _) in enumerate(want)]
+
+
+def test_licenses_side_by_side(spark):
+    text = "Released under the MIT License.\nLicensed under CC BY-NC 4.0.\n\n" + "\n".join(t for _, t in license_scan.TEMPLATES)
+    got = sorted(tuple(r)[1:4] for r in license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect())
+    assert got == [(0, 0, "MIT"), (1, 1, "CC-BY-NC-4.0")] + [(k, k, name) for k, (name, _) in enumerate(license_scan.TEMPLATES, 3)]
+
+
 def test_pipeline_on_odd_rows(spark, docs):
     import corpus_pipeline
 
