@@ -6,7 +6,8 @@ import importlib
 
 #: Modules that register a query with ``query``.
 MODULES = ("embedding_dedup", "license_scan", "line_dedup", "quality_rules", "secret_scan",
-           "piece_codec", "packing", "hilbert_shards", "toxicity", "minhash_dedup")
+           "piece_codec", "packing", "hilbert_shards", "toxicity", "minhash_dedup", "lexical_search",
+           "merkle_manifest", "bpe_codec")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
