@@ -44,7 +44,7 @@ def resolve_cast_double(spark, sf):
 
 
 @query("resolve_cast_string", f"""
-SELECT event_id, COALESCE(CAST({_DOUBLE} AS VARCHAR), amount) AS amount FROM {_ET} e""")
+SELECT event_id, amount FROM {_ET} e""")
 def resolve_cast_string(spark, sf):
     return resolve_column(messy_events(spark, sf).select("event_id", "amount"),
                           "amount", "cast:string")
@@ -71,7 +71,7 @@ def resolve_make_struct(spark, sf):
 
 @query("resolve_make_array", f"""
 SELECT event_id, CASE WHEN amount IS NULL THEN NULL ELSE 1 END AS n_values,
-       COALESCE(CAST({_DOUBLE} AS VARCHAR), amount) AS first_value
+       amount AS first_value
 FROM {_ET} e""")
 def resolve_make_array(spark, sf):
     df = resolve_column(messy_events(spark, sf).select("event_id", "amount"),
@@ -89,6 +89,51 @@ def resolve_mixed_specs(spark, sf):
                           choice="project:double")
 
 
+# Texts that a detour through DOUBLE alters: leading zeros, a type letter, a
+# trailing zero, a 20-digit id, an exponent, words of numbers.
+_SPELLED = """(SELECT event_id, CASE event_id % 8
+    WHEN 0 THEN lpad(CAST(event_id AS VARCHAR), 12, '0') WHEN 1 THEN CAST(event_id AS VARCHAR) || 'D'
+    WHEN 2 THEN CAST(user_id AS VARCHAR) || '.50' WHEN 3 THEN '1234567890' || lpad(CAST(event_id AS VARCHAR), 10, '0')
+    WHEN 4 THEN CAST(event_id AS VARCHAR) || 'e2' WHEN 5 THEN 'NaN' WHEN 6 THEN ' -' || CAST(user_id AS VARCHAR) || '. '
+    END AS code FROM events)"""
+_PLAIN = "regexp_matches(code, '^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$')"
+
+
+def spelled_events(spark, sf) -> DataFrame:
+    i, u = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    k = F.col("event_id") % 8
+    code = (F.when(k == 0, F.lpad(i, 12, "0")).when(k == 1, F.concat(i, F.lit("D")))
+            .when(k == 2, F.concat(u, F.lit(".50"))).when(k == 3, F.concat(F.lit("1234567890"), F.lpad(i, 10, "0")))
+            .when(k == 4, F.concat(i, F.lit("e2"))).when(k == 5, F.lit("NaN")).when(k == 6, F.concat(F.lit(" -"), u, F.lit(". "))))
+    return load(spark, sf, "events").select("event_id", text_to_choice(code).alias("code"))
+
+
+@query("resolve_text_kept", f"""
+SELECT event_id, code AS as_string, code AS first_value,
+       CASE WHEN {_PLAIN} THEN CAST(trim(code) AS DOUBLE) END AS as_double,
+       CASE WHEN event_id % 8 = 3 THEN CAST(code AS DECIMAL(38,0)) WHEN {_PLAIN} THEN CAST(CAST(trim(code) AS DOUBLE) AS DECIMAL(38,0)) END AS as_decimal
+FROM {_SPELLED} s""")
+def resolve_text_kept(spark, sf):
+    """Every spelling comes back from ``cast:string`` and ``make_array``; numbers are plain numerals only, exact from the text."""
+    e = spelled_events(spark, sf).withColumns({c: F.col("code") for c in ("as_string", "first_value", "as_double", "as_decimal")})
+    e = resolve_choice(e.drop("code"), [("as_string", "cast:string"), ("first_value", "make_array"),
+                                        ("as_double", "cast:double"), ("as_decimal", "cast:decimal(38,0)")])
+    return e.withColumn("first_value", F.element_at("first_value", 1))
+
+
+@query("choice_profile_spelled", f"""
+SELECT 'code' AS "column", CASE WHEN code IS NULL THEN NULL WHEN {_PLAIN} THEN 'DOUBLE' ELSE 'STRING' END AS value_type,
+       COUNT(*) AS n FROM {_SPELLED} s GROUP BY 2""")
+def choice_profile_spelled(spark, sf):
+    return choice_profile(spelled_events(spark, sf), ["code"])
+
+
+@query("resolve_project_spelled", f"""
+SELECT event_id, CAST(trim(code) AS DOUBLE) AS code FROM {_SPELLED} s WHERE code IS NULL OR {_PLAIN}""")
+def resolve_project_spelled(spark, sf):
+    return resolve_column(spelled_events(spark, sf), "code", "project:double")
+
+
 @query("relationalize_root", f"""
 SELECT doc_id, order_id, part, c_name AS "customer.name", c_mktsegment AS "customer.segment",
        total, CASE WHEN has_items THEN doc_id END AS items

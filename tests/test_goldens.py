@@ -39,9 +39,26 @@ def test_choice_make_struct(messy):
 
 def test_choice_make_array_and_cast_string(messy):
     arr = resolve_column(messy, "amount", "make_array").orderBy("order_id").collect()
-    assert [r.amount for r in arr] == [["99.99"], ["N/A"], None, ["199.5"]]
+    assert [r.amount for r in arr] == [["99.99"], ["N/A"], None, ["199.50"]]
     s = resolve_column(messy, "amount", "cast:string").orderBy("order_id").collect()
-    assert [r.amount for r in s] == ["99.99", "N/A", None, "199.5"]
+    assert [r.amount for r in s] == ["99.99", "N/A", None, "199.50"]
+
+
+def test_choice_keeps_the_text(spark):
+    texts = ["007", "12D", "199.50", "12345678901234567890", "9007199254740993", "1e3", "NaN", "Infinity", "0x1F", "", " 5 ", "-.5", "5.", "1e999", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("t", text_to_choice("t"))
+
+    def resolved(action):
+        return [r.t for r in resolve_column(df, "t", action).orderBy("i").collect()]
+
+    assert resolved("cast:string") == texts
+    assert resolved("make_array") == [[t] if t is not None else None for t in texts]
+    assert resolved("cast:double") == [7.0, None, 199.5, 12345678901234567890.0, 9007199254740993.0, 1000.0, None, None, None, None, 5.0, -0.5, 5.0, None, None]
+    assert resolved("cast:bigint") == [7, None, 199, None, 9007199254740993, 1000, None, None, None, None, 5, 0, 5, None, None]
+    assert [None if d is None else str(d) for d in resolved("cast:decimal(20,0)")][3:5] == ["12345678901234567890", "9007199254740993"]
+    types = {r.value_type: r.n for r in choice_profile(df, ["t"]).collect()}
+    assert types == {"DOUBLE": 8, "STRING": 6, None: 1}
+    assert len(resolved("project:string")) == 7 and resolved("project:double")[0] == 7.0
 
 
 def test_choice_from_json(spark):

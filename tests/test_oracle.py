@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB SQL on the small tables
+"""Every registered query of the core against its DuckDB SQL on the small tables
 (row count, column names, order-insensitive values); queries without SQL
 must at least run."""
 
@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cairn.plans import registry
 from cairn.session import TABLES, table_path
 from tools.oracle_check import rows_of
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only <= {"map_partitions_index", "audit_empty_files", "bookmark_state"}
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
