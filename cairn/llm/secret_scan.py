@@ -18,11 +18,13 @@ from cairn.llm.registry import query
 from cairn.session import load
 
 #: Kinds in the order of reports, their pattern, least length.
+#: No pattern repeats a group: the regular expressions of the JVM recurse once per
+#: repeat of a group, and a long text would exhaust the stack.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 KEY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
-ENDPOINT = r"(?:[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20\"'<>]+|(?<![A-Za-z0-9.-])[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com)"
+ENDPOINT = r"(?:[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20\"'<>]+|(?<![A-Za-z0-9.-])[a-z0-9-][a-z0-9.-]*\.amazonaws\.com)"
 KINDS = ("assign", "access", "hex", "key", "endpoint")
 BASE_KINDS = 3
 #: Characters on either side of a weak candidate in which its parts must lie.
