@@ -1,9 +1,11 @@
 """Exact money arithmetic.
 
-Amounts with two decimals are summed and averaged in exact integer/decimal
-arithmetic, so that ``round(…, 2)`` never depends on the order in which
-partial sums were combined across tasks (a double sum does). Results are
-returned as DOUBLE, like the reference's ``round(sum(x), 2)``.
+Amounts are summed and averaged in exact integer/decimal arithmetic at a
+declared scale and rounded once, after the sum, so that ``round(…, 2)``
+depends neither on the order in which partial sums were combined across tasks
+(a double sum does) nor on rounding of single rows. Results are returned as
+DOUBLE, like the reference's ``round(sum(x), 2)``. Halves round away from
+zero, in sums and averages of either sign.
 """
 
 from __future__ import annotations
@@ -54,25 +56,51 @@ def exact_sum(units) -> Column:
     return hi.cast("decimal(38,0)") * F.lit(1 << LIMB_BITS) + lo
 
 
-def sum_cents_2dp(col) -> Column:
-    """``round(sum(col), 2)`` of a two-decimal amount, exact, as DOUBLE."""
-    return (exact_sum(cents_bigint(col)) * F.lit(Decimal("0.01"))).cast("double")
+#: Decimals that amounts may have where no scale is declared.
+DEFAULT_SCALE = 12
+#: Largest scale: a fraction at it still fits a BIGINT.
+MAX_SCALE = 18
 
 
-def sum_2dp(col) -> Column:
-    """``round(sum(col), 2)`` computed exactly in DECIMAL and returned as DOUBLE."""
-    return F.round(F.sum(_c(col).cast("decimal(38,4)")), 2).cast("double")
+def exact_total(col, scale: int = DEFAULT_SCALE) -> Column:
+    """Exact sum of amounts with up to ``scale`` decimals, as DECIMAL.
 
+    A value is split into its whole part and its fraction in units of
+    ``10^-scale``, both BIGINT, and each is summed in fixed-width buffers
+    (``exact_sum``): whole parts up to 2^40, 2^43 rows a group. Digits beyond
+    ``scale`` are rounded away row by row, so declare as many as there are.
+    ``scale=2`` is the fast path: one BIGINT of cents a row.
+    """
+    if not 0 <= scale <= MAX_SCALE:
+        raise ValueError(f"scale must be between 0 and {MAX_SCALE}")
+    if scale == 2:
+        return exact_sum(cents_bigint(col)) * F.lit(Decimal("0.01"))
+    v = _c(col).cast(f"decimal(38,{scale})")
+    whole = F.floor(v)
+    units = ((v - whole) * F.lit(10 ** scale).cast("decimal(19,0)")).cast("bigint")
+    return exact_sum(whole.cast("bigint")) + exact_sum(units).cast(f"decimal({38 - scale},0)") * F.lit(Decimal(1).scaleb(-scale))
+
+
+def sum_2dp(col, scale: int = DEFAULT_SCALE) -> Column:
+    """``round(sum(col), 2)`` of amounts with up to ``scale`` decimals, as DOUBLE."""
+    return F.round(exact_total(col, scale), 2).cast("double")
 
-def avg_2dp(col) -> Column:
-    """``round(avg(col), 2)`` (half up) for non-negative two-decimal amounts.
 
-    avg*100 rounded half-up = floor((2*S + n) / (2*n)) with S the sum in cents
-    and n the non-null count; integral division keeps it exact at any size.
+def avg_2dp(col, scale: int = DEFAULT_SCALE) -> Column:
+    """``round(avg(col), 2)`` of amounts with up to ``scale`` decimals, as DOUBLE.
+
+    With S the sum in units of ``10^-scale`` and n the non-null count, the
+    cents of the average are (200 |S| + n 10^scale) div (2 n 10^scale), with
+    the sign of S; integral division keeps it exact at any size.
     """
-    s = exact_sum(cents_bigint(col))
+    units = (exact_total(col, scale) * F.lit(10 ** scale).cast("decimal(19,0)")).cast("decimal(38,0)")
     n = F.count(_c(col)).cast("decimal(38,0)")
-    return F.when(n > 0, _idiv(s * 2 + n, n * 2).cast("double") / F.lit(100.0))
+    if scale == 2:
+        cents = _idiv(F.abs(units) * 2 + n, n * 2)
+    else:
+        per = F.lit(10 ** scale).cast("decimal(19,0)")
+        cents = _idiv((F.abs(units) * 200 + n * per).cast("decimal(38,0)"), (n * 2 * per).cast("decimal(38,0)"))
+    return F.when(n > 0, F.signum(units.cast("double")) * cents.cast("double") / F.lit(100.0))
 
 
 def pct_2dp(part: Column, whole: Column) -> Column:
@@ -95,6 +123,7 @@ def sql_sum_2dp(expr: str) -> str:
 
 
 def sql_avg_2dp(expr: str) -> str:
+    """For averages that are not negative, of amounts with two decimals."""
     s = f"SUM(CAST(ROUND(({expr}) * 100) AS HUGEINT))"
     n = f"CAST(COUNT({expr}) AS HUGEINT)"
     return f"CAST(({s} * 2 + {n}) // ({n} * 2) AS DOUBLE) / 100.0"

@@ -2,17 +2,19 @@
 
 All of these are projections and ``posexplode``s — row-local work that
 never groups. Schema discovery for text columns (``unbox``) is a distributed
-aggregate (``schema_of_variant_agg``) returning one schema string.
+aggregate returning one row: ``schema_of_variant_agg`` for JSON, the type
+lattice of ``functions.lattice`` for CSV fields and DynamoDB numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.functions.lattice import csv_ddl, learnt
 from cairn.session import cut_lineage
 
 
@@ -132,9 +134,9 @@ def unbox(df: DataFrame, col: str, fmt: str = "json", schema: str | None = None,
           sep: str = ",") -> DataFrame:
     """Parse a text column holding JSON or CSV into a struct column.
 
-    Without a schema, a JSON schema is derived from all values by the
-    distributed ``schema_of_variant_agg`` aggregate; CSV needs a DDL schema.
-    Malformed values → NULL fields.
+    Without a schema, one is learnt from all values: of JSON by the distributed
+    ``schema_of_variant_agg`` aggregate, of CSV by a fold of every field through
+    the type lattice (fields ``_c0``, ``_c1``, …). Malformed values → NULL fields.
     """
     c = F.col(_q(col))
     fmt = fmt.lower()
@@ -144,7 +146,7 @@ def unbox(df: DataFrame, col: str, fmt: str = "json", schema: str | None = None,
         return df.withColumn(col, F.from_json(c, schema, {"mode": "PERMISSIVE"}))
     if fmt == "csv":
         if schema is None:
-            raise ValueError("unbox(csv) needs a schema (DDL string)")
+            schema = csv_ddl(df, col, sep)
         return df.withColumn(col, F.from_csv(c, schema, {"sep": sep, "mode": "PERMISSIVE"}))
     raise ValueError(f"unsupported unbox format {fmt}")
 
@@ -157,68 +159,140 @@ def infer_json_schema(df: DataFrame, col: str) -> str:
     return s.replace("OBJECT<", "STRUCT<")
 
 
-# DynamoDB attribute-value type tags.
+# DynamoDB attribute-value type tags; a number's type is learnt.
 DDB_SCALAR_TAGS = {"S": "string", "N": "double", "BOOL": "boolean", "B": "string"}
 DDB_SET_TAGS = {"SS": "array<string>", "NS": "array<double>", "BS": "array<string>"}
 
 
 def unnest_ddb_json(df: DataFrame, col: str, attributes: dict | None = None,
-                    sep: str = ".") -> DataFrame:
+                    sep: str = ".", numbers: str = "exact") -> DataFrame:
     """Flatten a DynamoDB-JSON text column (``{"a": {"S": "x"}, "n": {"N": "1"}}``)
-    into typed columns; ``M`` maps flatten to dotted names, ``L`` lists become
-    arrays of text, ``NULL`` → NULL. The attribute layout is learned from all
-    values (``schema_of_variant_agg``) unless ``attributes`` is given as
-    ``{name: tag or nested dict}``."""
+    into typed columns.
+
+    ``M`` maps flatten to dotted names; ``L`` lists become arrays, of structs
+    where the elements are maps, to any depth; sets become arrays; ``NULL`` →
+    NULL. An attribute seen with several scalar tags becomes text, one seen
+    with lists or maps beside other tags too (these as JSON).
+
+    The layout is learnt from all values (``schema_of_variant_agg``) unless
+    ``attributes`` is given as ``{name: tag, tags, or nested dict}``. Numbers
+    are exact: each attribute's type is the least of INT, BIGINT, DECIMAL that
+    holds all its numbers, and text where 38 digits are too few. That takes a
+    second aggregate of one row; ``numbers="double"`` does without it and
+    reads DOUBLE.
+    """
+    if numbers not in ("exact", "double"):
+        raise ValueError("numbers must be exact or double")
     v = F.try_parse_json(F.col(_q(col)))
     if attributes is None:
         s = df.select(F.schema_of_variant_agg(v).alias("s")).first().s
-        attributes = _ddb_layout(T._parse_datatype_string(s.replace("OBJECT<", "STRUCT<")))  # noqa: SLF001
+        if not s or not s.startswith("OBJECT<"):
+            raise ValueError(f"column {col} holds no DynamoDB items")
+        parsed = T._parse_datatype_string(s.replace("OBJECT<", "STRUCT<"))  # noqa: SLF001
+        layout = {f.name: _ddb_node(f.dataType) for f in parsed.fields}
+    else:
+        layout = {k: _ddb_given(x) for k, x in attributes.items()}
     base = df.withColumn("__v", v).drop(col)
+    types = _ddb_number_types(base, layout) if numbers == "exact" else {}
     cols = [F.col(_q(c)) for c in df.columns if c != col]
-    cols += _ddb_columns("$", attributes, "", sep)
+    cols += _ddb_columns(F.col("__v"), layout, (), "", sep, types)
     return base.select(cols)
 
 
-def _ddb_layout(st: T.StructType) -> dict:
-    layout = {}
-    for f in st.fields:
-        if not isinstance(f.dataType, T.StructType):
-            continue
-        tags = f.dataType.fieldNames()
-        if "M" in tags and isinstance(f.dataType["M"].dataType, T.StructType):
-            layout[f.name] = _ddb_layout(f.dataType["M"].dataType)
-        else:
-            layout[f.name] = [t for t in tags]
-    return layout
-
-
-def _ddb_columns(path: str, layout: dict, prefix: str, sep: str) -> list[Column]:
+def _ddb_node(dtype: T.DataType) -> dict:
+    """Tags of an attribute value, from its JSON type: {tag: what is inside}."""
+    if not isinstance(dtype, T.StructType):
+        return {}
+    node: dict = {}
+    for f in dtype.fields:
+        if f.name == "M" and isinstance(f.dataType, T.StructType):
+            node["M"] = {g.name: _ddb_node(g.dataType) for g in f.dataType.fields}
+        elif f.name == "L" and isinstance(f.dataType, T.ArrayType):
+            node["L"] = _ddb_node(f.dataType.elementType)
+        elif f.name in DDB_SCALAR_TAGS or f.name in DDB_SET_TAGS:
+            node[f.name] = None
+    return node
+
+
+def _ddb_given(spec) -> dict:
+    if isinstance(spec, dict):
+        return {"M": {k: _ddb_given(x) for k, x in spec.items()}}
+    # the elements of a list given by tag alone: text or numbers
+    return {t: {"S": None, "N": None} if t == "L" else None for t in ([spec] if isinstance(spec, str) else spec)}
+
+
+def _ddb_get(v: Column, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, f"$['{name}']", kind)
+
+
+def _ddb_numbers(v: Column, node: dict, at: tuple):
+    """(path, array of the number texts there) of every number in a node."""
+    if "N" in node:
+        yield (*at, "N"), F.array(_ddb_get(v, "N", "string"))
+    if "NS" in node:
+        yield (*at, "NS"), F.coalesce(_ddb_get(v, "NS", "array<string>"), F.array().cast("array<string>"))
+    for name, child in (node.get("M") or {}).items():
+        yield from _ddb_numbers(_ddb_get(_ddb_get(v, "M"), name), child, (*at, "M", name))
+    if node.get("L"):
+        def within(i: int) -> Callable[[Column], Column]:
+            return lambda e: list(_ddb_numbers(e, node["L"], ()))[i][1]
+
+        # the paths do not depend on the element, the texts do
+        paths = [path for path, _ in _ddb_numbers(F.lit(None).cast("variant"), node["L"], (*at, "L"))]
+        for i, path in enumerate(paths):
+            yield path, F.coalesce(F.flatten(F.transform(_ddb_get(v, "L", "array<variant>"), within(i))), F.array().cast("array<string>"))
+
+
+def _ddb_number_types(df: DataFrame, layout: dict) -> dict:
+    """Type of the numbers at each path, folded over all items (a row per path)."""
+    found = [x for name, node in layout.items() for x in _ddb_numbers(_ddb_get(F.col("__v"), name), node, (name,))]
+    if not found:
+        return {}
+    each = F.concat(*[F.transform(texts, _numbered(i)) for i, (_, texts) in enumerate(found)])
+    types = learnt(df.select(F.inline(each)), exact=True)
+    return {path: types.get(i, "STRING") for i, (path, _) in enumerate(found)}
+
+
+def _numbered(i: int) -> Callable[[Column], Column]:
+    return lambda t: F.struct(F.lit(i).alias("pos"), t.alias("text"))
+
+
+def _ddb_value(v: Column, node: dict, at: tuple, types: dict) -> Column:
+    """An attribute value as a typed column."""
+    tags = list(node)
+    scalars = [_ddb_get(v, t, "string").try_cast(types[(*at, t)]) if (*at, t) in types
+               else _ddb_get(v, t, DDB_SCALAR_TAGS[t]) for t in tags if t in DDB_SCALAR_TAGS]
+    if not tags or tags == ["M"] and not node["M"]:
+        return F.lit(None).cast("string")
+    if len(tags) == 1 and scalars:
+        return scalars[0]
+    if len(scalars) == len(tags):
+        return F.coalesce(*[_ddb_get(v, t, "string") for t in tags])
+    if tags == ["M"]:
+        inner = _ddb_get(v, "M")
+        fields = [_ddb_value(_ddb_get(inner, name), child, (*at, "M", name), types).alias(name) for name, child in node["M"].items()]
+        return F.when(inner.isNotNull(), F.struct(*fields))
+    if tags == ["L"]:
+        return F.transform(_ddb_get(v, "L", "array<variant>"), lambda e: _ddb_value(e, node["L"], (*at, "L"), types))
+    if len(tags) == 1:
+        if (*at, tags[0]) in types:
+            kind = types[(*at, tags[0])]
+            return F.transform(_ddb_get(v, tags[0], "array<string>"), lambda x: x.try_cast(kind))
+        return _ddb_get(v, tags[0], DDB_SET_TAGS[tags[0]])
+    text = [_ddb_get(v, t, "string") for t in tags if t in DDB_SCALAR_TAGS]
+    whole = F.when(v.isNotNull() & _ddb_get(v, "NULL").isNull(), F.to_json(v))
+    return F.coalesce(*text, whole)
+
+
+def _ddb_columns(v: Column, layout: dict, at: tuple, prefix: str, sep: str, types: dict) -> list[Column]:
+    """Columns of the attributes of a map; maps inside it flatten."""
     out = []
-    for name, spec in layout.items():
-        p = f"{path}['{name}']"
-        full = f"{prefix}{name}"
-        if isinstance(spec, dict):
-            out += _ddb_columns(f"{p}['M']", spec, f"{full}{sep}", sep)
-            continue
-        tags = [spec] if isinstance(spec, str) else list(spec)
-        vals = []
-        for t in tags:
-            if t in DDB_SCALAR_TAGS:
-                vals.append(F.try_variant_get("__v", f"{p}['{t}']", DDB_SCALAR_TAGS[t]))
-            elif t in DDB_SET_TAGS:
-                vals.append(F.try_variant_get("__v", f"{p}['{t}']", DDB_SET_TAGS[t]))
-            elif t == "L":
-                vals.append(F.transform(
-                    F.try_variant_get("__v", f"{p}['L']", "array<variant>"),
-                    lambda e: F.coalesce(F.try_variant_get(e, "$.S", "string"),
-                                         F.try_variant_get(e, "$.N", "string"),
-                                         F.to_json(e))))
-        scalar = [x for x, t in zip(vals, tags) if t in DDB_SCALAR_TAGS]
-        if len(scalar) > 1:
-            # one attribute seen with several scalar tags: keep it as text
-            out.append(F.coalesce(*[x.cast("string") for x in scalar]).alias(full))
-        elif vals:
-            out.append(F.coalesce(*vals).alias(full) if len(vals) > 1 else vals[0].alias(full))
+    for name, node in layout.items():
+        own, path = _ddb_get(v, name), (*at, name)
+        if list(node) == ["M"] and node["M"]:
+            out += _ddb_columns(_ddb_get(own, "M"), node["M"], (*path, "M"), f"{prefix}{name}{sep}", sep, types)
+        elif node:
+            out.append(_ddb_value(own, node, path, types).alias(f"{prefix}{name}"))
     return out
 
 

@@ -93,6 +93,7 @@ def _plain(v):
 
 ERR_TYPE = T.StructType([T.StructField("message", T.StringType()),
                          T.StructField("record", T.StringType())])
+_RUN = 4096  # copies of one record that a spigot counts together
 _CHUNK = 10_000  # rows per outgoing Arrow batch; results do not depend on it
 
 
@@ -217,10 +218,33 @@ def _split_errors(both: DataFrame, names: list[str], stage: str) -> MappedFrame:
 def spigot(df: DataFrame, path: str, fraction: float | None = None, top: int | None = None,
            seed: int = 42) -> DataFrame:
     """Write a sample of the records as JSON to ``path`` and return the frame
-    unchanged (the sample is the feature: a deterministic Bernoulli sample or
-    the first ``top`` records; exactly one of the two is required)."""
+    unchanged (the sample is the feature; exactly one of the two is required).
+
+    ``fraction`` keeps a record if a hash of its content lies below that share
+    of the hashes; ``top`` keeps the records of the least hashes. Either way
+    the sample depends on the records and ``seed`` alone, not on how they are
+    split over partitions. Equal records are told apart by number: each copy
+    of ``n`` has a hash of its own.
+
+    Only hashes are counted for the whole frame; records are read again for
+    the hashes that were chosen.
+    """
     if (fraction is None) == (top is None):
         raise ValueError("give either fraction or top")
-    sample = df.sample(fraction=fraction, seed=seed) if fraction is not None else df.limit(top)
-    sample.write.mode("overwrite").json(path)
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    keyed = df.select(record.alias("value")).select(
+        "value", F.xxhash64("value").alias("_h1"), F.xxhash64(F.lit(seed), "value").alias("_h2"))
+    copies = keyed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    # a hash with many copies is spread in runs of them
+    runs = copies.select("_h1", "_h2", "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {_RUN})")).alias("_run"))
+    of_run = F.sequence(F.col("_run") * _RUN, F.least(F.col("_run") * _RUN + (_RUN - 1), F.col("_n") - 1))
+    each = runs.select("_h1", "_h2", F.explode(of_run).alias("_copy"))
+    each = each.withColumn("_u", F.xxhash64("_h1", "_h2", "_copy"))
+    if fraction is not None:
+        each = each.where(F.col("_u") / float(1 << 64) + 0.5 < fraction)
+    else:
+        each = each.orderBy("_u", "_h1", "_h2", "_copy").limit(top)
+    chosen = each.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_m"))
+    found = keyed.join(chosen, ["_h1", "_h2"]).groupBy("value").agg(F.max("_m").alias("_m"))
+    found.select("value", F.explode(F.sequence(F.lit(1), F.col("_m")))).select("value").write.mode("overwrite").text(path)
     return df

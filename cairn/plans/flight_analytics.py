@@ -29,8 +29,8 @@ def delay_by_airline(spark: SparkSession, sf: str) -> DataFrame:
     f = flights(spark, sf)
     return (f.filter(F.col("status") != "Cancelled")
             .groupBy("airline")
-            .agg(avg_2dp("departure_delay_mins").alias("avg_dep_delay_mins"),
-                 avg_2dp("arrival_delay_mins").alias("avg_arr_delay_mins"),
+            .agg(avg_2dp("departure_delay_mins", scale=2).alias("avg_dep_delay_mins"),
+                 avg_2dp("arrival_delay_mins", scale=2).alias("avg_arr_delay_mins"),
                  F.count("flight_id").alias("total_flights"),
                  pct_2dp(F.count_if(F.col("status") == "Delayed"),
                          F.count("flight_id")).alias("delay_pct"))
@@ -89,7 +89,7 @@ FROM {SQL_FLIGHTS} f GROUP BY flight_date ORDER BY flight_date""")
 def daily_flight_trends(spark: SparkSession, sf: str) -> DataFrame:
     return (flights(spark, sf).groupBy("flight_date")
             .agg(F.count("flight_id").alias("total_flights"),
-                 avg_2dp("departure_delay_mins").alias("avg_dep_delay_mins"),
+                 avg_2dp("departure_delay_mins", scale=2).alias("avg_dep_delay_mins"),
                  F.count_if(F.col("status") == "Cancelled").alias("cancellations"))
             .orderBy("flight_date"))
 

@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions.money import cents_bigint, exact_sum, sum_cents_2dp
+from cairn.functions.money import cents_bigint, exact_sum, sum_2dp
 from cairn.incremental.bookmark import Bookmark
 from cairn.operators import quality as Q
 from cairn.operators.scd import scd1, scd2, scd3
@@ -416,7 +416,7 @@ def backfill_days(spark, sf):
     e = load(spark, sf, "events")
     daily = (e.groupBy(F.col("ts").cast("date").alias("event_date"), "event_type")
              .agg(F.count(F.lit(1)).alias("n_events"),
-                  sum_cents_2dp("value").alias("total_value")))
+                  sum_2dp("value", scale=2).alias("total_value")))
     path = scratch(spark, "backfill")
     write_frame(daily, path, "parquet", partition_by=["event_date"])
     return read_parquet(spark, path).select(

@@ -174,6 +174,21 @@ def unbox_csv(spark, sf):
     return e.select("event_id", "line.user_id", "line.event_type", "line.value")
 
 
+@query("unbox_csv_learnt", """
+SELECT event_id, CAST(user_id AS BIGINT) + 3000000000 AS _c0, event_type AS _c1, value AS _c2, lpad(CAST(event_id AS VARCHAR), 9, '0') AS _c3
+FROM events""")
+def unbox_csv_learnt(spark, sf):
+    """CSV lines without a schema: each field's type is learnt from all values;
+    a quoted field holds the separator, codes with leading zeros stay text."""
+    quoted = F.concat(F.lit('"'), F.concat_ws(",", "event_type", F.lit("x")), F.lit('"'))
+    e = load(spark, sf, "events").select(
+        "event_id", F.concat_ws(",", F.col("user_id").cast("bigint") + 3000000000, quoted,
+                                F.coalesce(F.col("value").cast("decimal(18,4)").cast("string"), F.lit("")),
+                                F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("line"))
+    e = unbox(e, "line", "csv").select("event_id", "line.*")
+    return e.withColumn("_c1", F.regexp_replace("_c1", ",x$", "")).withColumn("_c2", F.col("_c2").cast("double"))
+
+
 def ddb_customers(spark, sf) -> DataFrame:
     """Customers as DynamoDB-JSON items (type-tagged attribute values)."""
     c = load(spark, sf, "customer")
@@ -192,7 +207,50 @@ def ddb_customers(spark, sf) -> DataFrame:
 SELECT CAST(c_custkey AS DOUBLE) AS custkey, c_name AS name, c_acctbal AS balance,
        c_mktsegment AS "info.segment", c_acctbal >= 5000 AS "info.vip" FROM customer""")
 def unnest_ddb(spark, sf):
-    return unnest_ddb_json(ddb_customers(spark, sf), "item")
+    return unnest_ddb_json(ddb_customers(spark, sf), "item", numbers="double")
+
+
+def ddb_orders(spark, sf) -> DataFrame:
+    """Orders as DynamoDB-JSON items: a number past 2^53, a list of maps with a
+    list inside each, a number set and a list whose elements differ in tag."""
+    tag = lambda t, c: F.struct(c.alias(t))
+    num = lambda c: tag("N", c.cast("string"))
+    li = load(spark, sf, "lineitem")
+    item = F.struct(F.struct(
+        num(F.col("l_linenumber")).alias("line"),
+        num(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+        tag("L", F.array(tag("S", F.col("l_returnflag")), tag("S", F.col("l_linestatus")))).alias("flags")).alias("M"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", item.alias("item")))).alias("lines"))
+    o = load(spark, sf, "orders")
+    o = o.join(lines, o.o_orderkey == lines.l_orderkey)
+    big = F.col("o_orderkey").cast("decimal(38,0)") + F.lit(9007199254740993)
+    mixed = F.array(F.to_json(tag("S", F.col("o_orderstatus"))), F.to_json(num(F.col("o_custkey"))))
+    text = F.concat(
+        F.lit('{"id":'), F.to_json(num(big)),
+        F.lit(',"lines":'), F.to_json(tag("L", F.transform("lines", lambda x: x["item"]))),
+        F.lit(',"codes":'), F.to_json(tag("NS", F.array((F.col("o_orderkey") / 4).cast("decimal(18,2)").cast("string")))),
+        F.lit(',"mixed":{"L":['), F.array_join(mixed, ","), F.lit("]}}"))
+    return o.select(text.alias("item"))
+
+
+@query("unnest_ddb_lists", """
+WITH l AS (
+  SELECT l_orderkey, count(*) AS n_lines, sum(l_linenumber) AS line_sum, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+         string_agg(l_returnflag || l_linestatus, ',' ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag, l_linestatus) AS flags
+  FROM lineitem GROUP BY l_orderkey)
+SELECT CAST(o_orderkey AS BIGINT) + 9007199254740993 AS id, n_lines, CAST(line_sum AS BIGINT) AS line_sum, quantity, flags,
+       CAST(CAST(CAST(o_orderkey AS DECIMAL(18,2)) / 4 AS DECIMAL(18,2)) AS DOUBLE) AS code, o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS cust
+FROM orders JOIN l ON o_orderkey = l_orderkey""")
+def unnest_ddb_lists(spark, sf):
+    """Lists of maps become arrays of structs; numbers keep every digit."""
+    i = unnest_ddb_json(ddb_orders(spark, sf), "item")
+    total = lambda f, kind: F.aggregate(F.transform("lines", lambda x: x[f].cast(kind)), F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
+    return i.select(
+        "id", F.size("lines").cast("bigint").alias("n_lines"), total("line", "bigint").alias("line_sum"),
+        total("quantity", "decimal(38,2)").cast("double").alias("quantity"),
+        F.array_join(F.transform("lines", lambda x: F.array_join(x["flags"], "")), ",").alias("flags"),
+        F.col("codes")[0].cast("double").alias("code"), F.col("mixed")[0].alias("status"), F.col("mixed")[1].alias("cust"))
 
 
 @query("explode_tags", """

@@ -6,10 +6,12 @@ extended price).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.money import sum_cents_2dp
+from cairn.functions.money import avg_2dp, sum_2dp
 from cairn.plans._registry import query
 from cairn.session import load
 
@@ -95,7 +97,7 @@ def order_totals_df(spark: SparkSession, sf: str) -> DataFrame:
     o, oi = retail_orders(spark, sf), retail_items(spark, sf)
     # lines summed per order first (map-side partial sums); order ids are unique
     totals = (oi.groupBy("order_item_order_id")
-              .agg(sum_cents_2dp("order_item_subtotal").alias("total_sales")))
+              .agg(sum_2dp("order_item_subtotal", scale=2).alias("total_sales")))
     return (o.join(totals, o.order_id == totals.order_item_order_id)
             .select("order_id", "total_sales")
             .orderBy(F.desc("total_sales"), "order_id"))
@@ -126,3 +128,27 @@ SELECT o_orderstatus AS order_status, COUNT(*) AS n FROM orders GROUP BY 1""")
 def sql_temp_view(spark: SparkSession, sf: str) -> DataFrame:
     retail_orders(spark, sf).createOrReplaceTempView("dft")
     return spark.sql("SELECT order_status, count(*) AS n FROM dft GROUP BY order_status")
+
+
+_SIGNED = """(SELECT l_linestatus, CASE l_returnflag WHEN 'R' THEN -1 ELSE 1 END
+    * CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(6,2)) * CAST(l_tax AS DECIMAL(6,2)) AS fee,
+    CAST(l_discount AS DECIMAL(6,2)) * CAST(l_tax AS DECIMAL(6,2)) * CAST(0.1 AS DECIMAL(2,1)) AS rate
+    FROM lineitem)"""
+
+
+@query("fees_any_scale", f"""
+SELECT l_linestatus AS linestatus, CAST(ROUND(SUM(fee), 2) AS DOUBLE) AS total_fee,
+       CAST(ROUND(SUM(rate), 2) AS DOUBLE) AS total_rate,
+       sign(SUM(fee)) * CAST((200 * CAST(abs(SUM(fee)) * 1000000 AS HUGEINT) + COUNT(fee) * CAST(1000000 AS HUGEINT))
+            // (2 * COUNT(fee) * CAST(1000000 AS HUGEINT)) AS DOUBLE) / 100 AS avg_fee
+FROM {_SIGNED} f GROUP BY 1""")
+def fees_any_scale(spark, sf):
+    """Signed amounts of six decimals, rounded after the sum."""
+    li = load(spark, sf, "lineitem")
+    two = lambda c: F.col(c).cast("decimal(18,2)")
+    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    f = li.select("l_linestatus", (sign * two("l_extendedprice") * two("l_discount") * two("l_tax")).alias("fee"),
+                  (two("l_discount") * two("l_tax") * F.lit(Decimal("0.1"))).alias("rate"))
+    return f.groupBy(F.col("l_linestatus").alias("linestatus")).agg(
+        sum_2dp("fee", scale=6).alias("total_fee"), sum_2dp("rate", scale=5).alias("total_rate"),
+        avg_2dp("fee", scale=6).alias("avg_fee"))

@@ -13,7 +13,7 @@ from cairn.operators.shape import (drop_fields, filter_rows, rename_field, selec
                                    split_fields, with_frame_schema)
 from cairn.plans._registry import query
 from cairn.plans.standins import SQL_DOCS, nested_orders
-from cairn.session import load
+from cairn.session import load, scratch
 
 # A fixed run timestamp stands in for "now" so reruns are reproducible; a
 # scheduled job passes its own logical run time.
@@ -260,16 +260,21 @@ def map_partitions_q(spark, sf):
     return map_partitions(c, _balance_band, "c_custkey bigint, band bigint").frame
 
 
-@query("map_partitions_index")
+@query("map_partitions_index", """
+SELECT c_custkey, CAST(0 AS INTEGER) AS below, CAST(3 AS INTEGER) AS partitions FROM customer""")
 def map_partitions_index(spark, sf):
-    """``mapPartitionsWithIndex``: each row tagged with its partition number."""
-    c = load(spark, sf, "customer").select("c_custkey")
+    """``mapPartitionsWithIndex``: each row tagged with its partition number.
+    Which row lies where is the engine's choice, so the result tells, per row,
+    whether its number is out of range and how many partitions there are."""
+    c = load(spark, sf, "customer").select("c_custkey").repartition(3, "c_custkey")
 
     def tag(pid, records):
         for r in records:
             yield {"c_custkey": r["c_custkey"], "partition": pid}
 
-    return map_partitions(c, tag, "c_custkey bigint, partition int", with_index=True).frame
+    out = map_partitions(c, tag, "c_custkey bigint, partition int", with_index=True).frame
+    seen = out.agg(F.count_distinct("partition").cast("int").alias("partitions"))
+    return out.select("c_custkey", (~F.col("partition").between(0, 2)).cast("int").alias("below")).join(F.broadcast(seen))
 
 
 def _parse_amount(rec: dict) -> dict:
@@ -302,6 +307,56 @@ def error_rows(spark, sf):
                       F.get_json_object("record", "$.amount").alias("amount"))
 
 
+# Three stages over messy events: ids, amounts, rules.
+_CHECKED = """(SELECT event_id, event_type, amount, value,
+    CASE WHEN event_id % 50 = 0 THEN 'ids' WHEN amount = 'N/A' THEN 'amounts'
+         WHEN amount IS NULL OR value >= 90 THEN 'rules' END AS stage,
+    CASE WHEN event_id % 50 = 0 THEN 'code: ' || event_id || 'x is no bigint' WHEN amount = 'N/A' THEN 'amount: N/A is no double'
+         WHEN amount IS NULL THEN 'amount is missing; amount is too large' WHEN value >= 90 THEN 'amount is too large' END AS message
+    FROM (SELECT event_id, event_type, value, CASE WHEN event_type = 'error' THEN 'N/A'
+          WHEN event_type = 'view' THEN NULL ELSE CAST(value AS VARCHAR) END AS amount FROM events))"""
+
+
+def checked_events(spark, sf):
+    """The outcome of the three stages, evaluated once."""
+    from cairn.operators.checked import Checked
+    from cairn.plans.standins import events_text
+    e = events_text(spark, sf)
+    i = F.col("event_id")
+    code = F.when(i % 50 == 0, F.concat(i.cast("string"), F.lit("x"))).otherwise(i.cast("string"))
+    return (Checked(e.select(code.alias("code"), "event_type", "amount"))
+            .cast([("code", "string", "id", "bigint"), ("event_type", "string", "kind", "string"),
+                   ("amount", "string", "amount", "string")], stage="ids")
+            .cast([("id", "bigint", "id", "bigint"), ("kind", "string", "kind", "string"),
+                   ("amount", "string", "amount", "double")], stage="amounts")
+            .require({"amount is missing": "amount IS NOT NULL", "amount is too large": F.col("amount") < 90}, stage="rules")
+            .run(scratch(spark, "checked_events")))
+
+
+@query("errors_of_casts", f"""
+SELECT stage, message, event_type AS kind, COUNT(*) AS n FROM {_CHECKED} c WHERE stage IS NOT NULL GROUP BY ALL""")
+def errors_of_casts(spark, sf):
+    """Failing records of JVM casts and rules, with the stage each failed in."""
+    err = checked_events(spark, sf).errors
+    kind = F.coalesce(F.get_json_object("record", "$.event_type"), F.get_json_object("record", "$.kind"))
+    return err.groupBy("stage", "message", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("good_of_casts", f"SELECT event_id AS id, event_type AS kind, CAST(amount AS DOUBLE) AS amount FROM {_CHECKED} c WHERE stage IS NULL")
+def good_of_casts(spark, sf):
+    return checked_events(spark, sf).frame
+
+
+@query("stage_counts", f"""
+SELECT 'ids' AS stage, COUNT(*) AS seen, COUNT(*) FILTER (WHERE stage = 'ids') AS errors FROM {_CHECKED} c
+UNION ALL SELECT 'amounts', COUNT(*) FILTER (WHERE stage IS NULL OR stage <> 'ids'), COUNT(*) FILTER (WHERE stage = 'amounts') FROM {_CHECKED} c
+UNION ALL SELECT 'rules', COUNT(*) FILTER (WHERE stage IS NULL OR stage = 'rules'), COUNT(*) FILTER (WHERE stage = 'rules') FROM {_CHECKED} c""")
+def stage_counts(spark, sf):
+    """Records seen and failed per stage, from the observed metrics of the one write."""
+    counts = checked_events(spark, sf).counts
+    return spark.createDataFrame([(s, c.seen, c.errors) for s, c in counts.items()], "stage string, seen bigint, errors bigint")
+
+
 @query("unnest_structs", """
 SELECT doc_id, order_id, part, c_name AS "customer.name", c_mktsegment AS "customer.segment", total
 FROM DOCS d""".replace("DOCS", SQL_DOCS))
