@@ -16,6 +16,7 @@ _MODULES = (
     "io_sources",
     "catalog_tables",
     "incremental_jobs",
+    "jobs",
 )
 
 _loaded = False

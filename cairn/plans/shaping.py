@@ -219,7 +219,7 @@ def clean_orders_frame(raw: DataFrame, run_date: str = RUN_DATE) -> DataFrame:
     return dedupe(df, ["order_id"]).withColumn("processed_date", F.lit(run_date).cast("date"))
 
 
-@query("clean_orders", f"""
+SQL_CLEAN_ORDERS = f"""
 SELECT order_id, customer_name, product, amount, order_date, DATE '{RUN_DATE}' AS processed_date
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY customer_name, product,
                                    amount, order_date) AS rn
@@ -231,7 +231,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY customer_name,
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
             JOIN customer ON o_custkey = c_custkey)
       WHERE TRY_CAST(amount AS DOUBLE) > 0)
-WHERE rn = 1""")
+WHERE rn = 1"""
+
+
+@query("clean_orders", SQL_CLEAN_ORDERS)
 def clean_orders(spark, sf):
     return clean_orders_frame(order_lines(spark, sf))
 

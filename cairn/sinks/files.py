@@ -90,18 +90,15 @@ def land_by_date(spark: SparkSession, src: str, dest: str, fmt: str = "csv",
     for k, v in opts.items():
         r = r.option(k, v)
     if bookmark is not None:
-        paths = bookmark.new_paths(src, glob)
-        if not paths:
-            bookmark.commit()
-            return dest
-        df = r.load(paths)
+        # scanned with the folder's own layout; only rows of unseen files remain
+        df = bookmark.scan_new(r, src, glob)
     else:
-        df = r.load(src)
-    path = F.col("_metadata.file_path")
-    when = F.col(ts_col) if ts_col else F.col("_metadata.file_modification_time")
+        df = r.load(src).select("*", F.struct(F.col("_metadata.file_path").alias("path"),
+                                              F.col("_metadata.file_modification_time").alias("mtime")).alias("_file"))
+    when = F.col(ts_col) if ts_col else F.col("_file.mtime")
     landed = df.select("*",
-                       F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("prefix"),
-                       *date_folders(when))
+                       F.regexp_extract("_file.path", r"([^/]+)/[^/]+$", 1).alias("prefix"),
+                       *date_folders(when)).drop("_file")
     write_frame(landed, dest, out_fmt, mode="append",
                 partition_by=["prefix", "year", "month", "day"])
     if bookmark is not None:
