@@ -8,7 +8,7 @@ and maxima prune on every dimension at once. DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import stored
@@ -64,9 +64,36 @@ def hilbert_index(axes: list[Column], bits: int = BITS) -> Column:
     return F.get(F.transform(grayed, index), F.lit(0))
 
 
-def _by_hash(c: Column, bits: int) -> Column:
-    """Cell of a text value: equal values share a cell; null is a value of its own."""
-    return F.pmod(F.xxhash64(c.cast("string")), F.lit(1 << bits)).cast("int")
+def _text_cuts(rows: DataFrame, col: str, bits: int) -> list[tuple[str, int]]:
+    """(first value, cell) of the cells of a text dimension: values in order,
+    cut where the rows before a value reach the next of ``2 ** bits`` equal
+    shares. Counts per value are sorted in ranges, and a row per range carries
+    the sums across ranges, so no task holds all values; at most ``2 ** bits``
+    cuts come back."""
+    counts = rows.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = stored(counts.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("part")), "shard-values")
+    sums = _before(ranged.groupBy("part").agg(F.sum("n").alias("n")))
+    within = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.withColumn("own", within).join(sums, "part")
+    cell = F.expr(f"int(((start + own) * {1 << bits}L) div total)")
+    return sorted(((r.v, r.cell) for r in placed.groupBy(cell.alias("cell")).agg(F.min("v").alias("v")).collect()), key=lambda x: x[1])
+
+
+def _before(per_part: DataFrame) -> DataFrame:
+    """start, the sum of n over the parts before, and total, beside each part:
+    one row per range of a sort, so bounded by the partition count."""
+    w = Window.orderBy("part")
+    start = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return per_part.select("part", start.alias("start"), F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+
+
+def _by_order(c: Column, cuts: list[tuple[str, int]]) -> Column:
+    """Cell of a text value among cuts of ``_text_cuts``; null is in cell 0."""
+    if not cuts:
+        return F.lit(0)
+    below = F.size(F.filter(F.array(*[F.lit(v) for v, _ in cuts]), lambda k: k <= c))
+    cells = F.array(F.lit(0), *[F.lit(k) for _, k in cuts])
+    return F.when(c.isNull(), 0).otherwise(F.get(cells, below))
 
 
 def _by_quantile(c: Column, cuts: list, bits: int) -> Column:
@@ -79,8 +106,9 @@ def _by_quantile(c: Column, cuts: list, bits: int) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """Rows (doc_id, size, text_crc32, cell, shard, slot) under the law of equal counts.
 
-    The dimensions are source, lang (hashed to cells) and the length of the
-    text (cut at approximate quantiles, one sketch of fixed size). The order
+    The dimensions are source, lang (values in order, cut at equal shares of
+    the rows) and the length of the text (cut at approximate quantiles, one
+    sketch of fixed size), so a shard holds a narrow range of each. The order
     is (cell, doc_id, text hash); it is total up to repeated rows, which are
     interchangeable. Counts differ by one at most whatever one cell, source or
     copy group holds, as runs are cut by rank, not by key.
@@ -97,7 +125,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     base = stored(base, "shard-base")
     n_cuts = (1 << bits) - 1
     cuts = base.agg(F.percentile_approx("size", [(i + 1) / (n_cuts + 1) for i in range(n_cuts)], 2000)).first()[0] or []
-    axes = [_by_hash(F.col("source"), bits), _by_quantile(F.col("size"), sorted(set(cuts)), bits), _by_hash(F.col("lang"), bits)]
+    axes = [_by_order(F.col("source"), _text_cuts(base, "source", bits)), _by_quantile(F.col("size"), sorted(set(cuts)), bits),
+            _by_order(F.col("lang"), _text_cuts(base, "lang", bits))]
     cells = base.select("doc_id", "size", "text_crc32", "tie", hilbert_index(axes, bits).alias("cell"))
     # ranges over (cell, doc_id, tie): a cell with a third of the rows is split
     ranged = cells.repartitionByRange("cell", "doc_id", "tie").sortWithinPartitions("cell", "doc_id", "tie")
@@ -107,13 +136,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
                               F.shiftright("mid", 33).cast("int").alias("part"),
                               F.col("mid").bitwiseAND((1 << 33) - 1).alias("at")), "shard-order")
     per_part = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    # one row per range: bounded by the partition count, not by the rows
-    sums = per_part.agg(F.sort_array(F.collect_list(F.struct("part", "n"))).alias("p"))
-    starts = sums.select(F.explode("p").alias("x"), "p").select(
-        F.col("x.part").alias("part"),
-        F.aggregate(F.filter("p", lambda y: y["part"] < F.col("x.part")), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("start"),
-        F.aggregate("p", F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("total"))
-    ranked = numbered.join(F.broadcast(starts), "part").withColumn("rank", F.col("start") + F.col("at"))
+    starts = _before(per_part)
+    ranked = numbered.join(starts, "part").withColumn("rank", F.col("start") + F.col("at"))
     k = F.lit(shards).cast("long")
     # shard s holds the ranks from ceil(s * total / k) to ceil((s + 1) * total / k) - 1
     ranked = ranked.withColumn("s", F.expr(f"(rank * {shards}L) div total"))
@@ -128,8 +152,6 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     Documents are matched to their shard by (doc_id, size, CRC): rows equal in
     all three are interchangeable copies, told apart by their number.
     """
-    from pyspark.sql import Window
-
     key = [F.col("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8,
            F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).cast("long")]
     left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

@@ -1,7 +1,8 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two lines link if at most ``EDITS`` single-character edits apart and at least
-80 percent similar. Of EDITS + 1 even segments of a line, one survives EDITS
+Equal lines are one class at any length, by their hash. Two different lines
+link if both have NEAR_CHARS characters, and they are at most ``EDITS``
+single-character edits apart and at least 80 percent similar. Of EDITS + 1 even segments of a line, one survives EDITS
 edits unchanged, so it occurs in the other line near the same place: a line is
 indexed under (its length, segment number, segment) and probes with the
 substrings, selected by length and position, that could be a segment of an
@@ -27,8 +28,9 @@ from cairn.session import load
 
 #: Most edits between linked lines, and their least similarity in percent.
 EDITS, PERCENT = 2, 80
-#: Shorter lines are left alone.
-MIN_WORDS = 5
+#: Least characters of a line that may link to a different one: in a shorter
+#: line two edits change its meaning (a number, a date, a name).
+NEAR_CHARS = 20
 #: Characters hashed at once; lines of a task that are remembered as emitted.
 CHUNK, SEEN = 2_000_000, 1_000_000
 #: Rows of a key that one task compares; more are dealt out in blocks of BLOCK.
@@ -41,7 +43,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def eligible(line: str) -> bool:
-    return len(line.encode("utf-8", "surrogatepass").split(None, MIN_WORDS - 1)) >= MIN_WORDS
+    """Whether a line holds anything but ASCII white space."""
+    return bool(line.strip(" \t\n\v\f\r"))
 
 
 def line_hash(line: str) -> bytes:
@@ -173,7 +176,7 @@ def _pairs(h: np.ndarray, sketch: np.ndarray, edits: int) -> tuple[np.ndarray, n
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, th, line, h, h2) of the eligible lines; th tells texts apart."""
+    """Rows (doc_id, th, line, h, h2) of the lines that are not blank; th tells texts apart."""
 
     def run(batches):
         for b in batches:
@@ -194,12 +197,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _batches_of_lines(batches):
-    """Lists of eligible lines, each once per task, of about CHUNK characters."""
+    """Lists of the lines that may link to others, each once per task, of about CHUNK characters."""
     seen, lines, ids, size = set(), [], [], 0
     for b in batches:
         for text in b.column("text").to_pylist():
             for x in (text or "").split("\n"):
-                if not eligible(x):
+                if len(x) < NEAR_CHARS or not eligible(x):
                     continue
                 h = int.from_bytes(line_hash(x)[:8], "little", signed=True)
                 if h in seen:
@@ -295,7 +298,8 @@ def _candidates(docs: DataFrame, edits: int) -> DataFrame:
 
 
 def line_links(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT) -> DataFrame:
-    """Links between different lines: rows (a, b) of line hashes, a < b."""
+    """Links between different lines: rows (a, b, a2, b2) of the first and
+    second halves of line hashes, a < b."""
     pairs = stored(_candidates(docs, edits), "line-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     needed = stored(needed, "line-needed")
@@ -306,26 +310,32 @@ def line_links(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT) -> D
 
     def verify(batches):
         for b in batches:
-            ok = []
+            ok, second = [], []
             for x, y in zip(b.column("x_a").to_pylist(), b.column("x_b").to_pylist(), strict=True):
                 d, longest = edit_distance(x, y, edits), max(len(x), len(y))
                 ok.append(d <= edits and 100 * (longest - d) >= percent * longest)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                second.append(line_hash(x)[8:] + line_hash(y)[8:])
+            h2 = np.frombuffer(b"".join(second), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array(h2[:, 0]), pa.array(h2[:, 1])], ["a", "b", "a2", "b2"]).filter(pa.array(ok, pa.bool_()))
 
     few = needed.count() <= BROADCAST_LINES
     lines = map_arrow(docs.select("text"), texts, "h long, x string").join(F.broadcast(needed) if few else needed, "h", "left_semi")
     lines = stored(lines.groupBy("h").agg(F.min("x").alias("x")), "line-texts")
     one, two = (lines.select(F.col("h").alias(k), F.col("x").alias(f"x_{k}")) for k in "ab")
-    return map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "x_a", "x_b"), verify, "a long, b long")
+    return map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "x_a", "x_b"), verify, "a long, b long, a2 long, b2 long")
 
 
 def removals(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT) -> DataFrame:
-    """Rows (doc_id, th, n_lines, n_links, removed): per document with eligible
-    lines their count, the count of those with a near copy that differs, and
+    """Rows (doc_id, th, n_lines, n_links, removed): per document with lines
+    that are not blank their count, the count of those with a near copy that differs, and
     the numbers of the lines to remove. th is the text's xxhash64."""
     lines = stored(_lines(docs).distinct(), "lines")
-    near = components(line_links(docs, edits, percent)).select(F.col("id").alias("h"), "component")
-    lines = lines.join(near, "h", "left").select("doc_id", "th", "line", F.coalesce("component", "h").alias("c"),
+    links = stored(line_links(docs, edits, percent), "line-links")
+    # a line belongs to a class by both halves of its hash
+    ends = links.select("a", "a2").union(links.select("b", "b2")).distinct().select(F.col("a").alias("h"), F.col("a2").alias("h2"))
+    near = components(links.select("a", "b")).select(F.col("id").alias("h"), "component").join(ends, "h")
+    lines = lines.join(near, ["h", "h2"], "left").select("doc_id", "th", "line", F.coalesce("component", "h").alias("c"),
                                                  F.when(F.col("component").isNull(), F.col("h2")).alias("c2"))
     lines = stored(lines, "line-classes")
     first = lines.groupBy(F.col("c").alias("fc"), F.col("c2").alias("fc2")).agg(F.min(F.struct("doc_id", "th", "line")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -339,8 +349,7 @@ def removals(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT) -> Dat
 def dedup_lines(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT, drop_emptied: bool = True) -> DataFrame:
     """``docs`` without the lines that repeat or nearly repeat an earlier one.
 
-    Cases: null and empty texts, and lines of fewer than MIN_WORDS words, stay
-    as they are; equal lines are one class at any length; ties between
+    Cases: null and empty texts, and blank lines, stay as they are; equal lines are one class at any length; ties between
     documents go by doc_id (null first) and then by text; rows that repeat
     both are one document and end up alike; lines of any length are compared
     whole; an empty table gives no rows; all columns stay. A document that had
@@ -361,7 +370,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, percent: int = PERCENT, dro
 
 @query("op3_line_dedup")
 def op3_line_dedup(spark, sf_dir):
-    """Per document: its eligible lines, those linked, and those to remove."""
+    """Per document: its lines that are not blank, those linked, and those to remove."""
     docs = load(spark, sf_dir, "documents")
     out = removals(docs)
     own = docs.select("doc_id", F.xxhash64("text").alias("th"))

@@ -190,7 +190,7 @@ def test_hot_segment_keys_are_dealt_out(docs, monkeypatch):
 def test_lines(docs):
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}
     assert got[10] == "A line of five plain words here\nanother line that is alone today ok"
-    assert got[11] == "short\n\nshort"  # its long line is one edit from an earlier one
+    assert got[11] == "short\n"  # its long line is one edit from an earlier one, its last one repeats
     assert 6 not in got and got[0] is None and got[2] == TEXTS[2]
     assert line_dedup.dedup_lines(docs).columns == docs.columns
     assert line_dedup.dedup_lines(empty(docs)).count() == 0
@@ -225,7 +225,8 @@ def test_secrets(docs):
         want += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m.group()) >= 32]
         assert [s for s in spans[k] if s[1] < 3] == sorted(want)
     # weak parts count only together
-    assert {s[1] for s in spans[13]} == {1, 3, 4} and spans[14] == [] or {s[1] for s in spans[14]} == {3}
+    assert {s[1] for s in spans[13]} == {1, 3, 4}
+    assert {s[1] for s in spans[14]} == {3}
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
     assert clean[12].count("[SECRET]") == 3 and "password=abc;" in clean[12] and clean[5] == TEXTS[5] and clean[0] is None
     assert secret_scan.redact(docs).count() == docs.count() and secret_scan.scan(empty(docs)).count() == 0
