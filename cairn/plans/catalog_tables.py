@@ -13,8 +13,8 @@ from cairn.plans._registry import query
 from cairn.session import load, scratch, unique_name
 from cairn.sinks.files import insert_into_table, write_frame
 from cairn.sources.catalog import (add_partitions, catalog_sink, crawl, create_database,
-                                   create_external_table, drop_partition, repair_table,
-                                   show_partitions)
+                                   create_external_table, describe_table, drop_partition, repair_table,
+                                   show_create_table, show_databases, show_partitions, show_tables)
 
 _ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
                "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, o_orderstatus STRING")
@@ -213,3 +213,92 @@ def scan_catalog_table(spark, sf):
     db = _db(spark, "cat")
     create_external_table(spark, f"{db}.orders", "parquet", path)
     return spark.sql(f"SELECT o_orderpriority, count(*) AS n FROM {db}.orders GROUP BY o_orderpriority")
+
+
+@query("ext_quoted_csv_table", """
+SELECT o_orderkey, 'said "' || o_orderstatus || '", then left' AS remark, o_totalprice FROM orders""")
+def ext_quoted_csv_table(spark, sf):
+    """An external table over quoted CSV: separators and doubled quotes inside fields."""
+    path = scratch(spark, "ext", "orders_quoted")
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit('said "'), "o_orderstatus", F.lit('", then left')).alias("remark"), "o_totalprice")
+    write_frame(o, path, "csv", quoteAll=True, escape='"')
+    db = _db(spark, "ext")
+    return create_external_table(spark, f"{db}.orders", "csv", path, schema="o_orderkey BIGINT, remark STRING, o_totalprice DOUBLE",
+                                 options={"header": "true", "quote": '"', "escape": '"'})
+
+
+@query("list_and_describe", """
+SELECT 'column' AS what, column_name AS name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS detail
+FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus FROM orders) t(column_name, data_type, a, b, c, d)
+UNION ALL SELECT 'partition column', 'o_orderstatus', 'string'
+UNION ALL SELECT 'partition', 'o_orderstatus=' || o_orderstatus, NULL FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'database', 'ours', NULL UNION ALL SELECT 'table', 'orders', NULL UNION ALL SELECT 'table made again', 'orders', NULL""")
+def list_and_describe(spark, sf):
+    """SHOW DATABASES / TABLES / PARTITIONS / CREATE TABLE and DESCRIBE of one table."""
+    from cairn.sources.catalog import drop_table
+    path = _partitioned_orders(spark, sf)
+    db = _db(spark, "shown")
+    t = f"{db}.orders"
+    create_external_table(spark, t, "parquet", path, schema=_ORDERS_DDL, partition_by=["o_orderstatus"])
+    ddl = show_create_table(spark, t)
+    drop_table(spark, t)
+    spark.sql(ddl)  # the statement makes the same table again
+    repair_table(spark, t)
+    none = F.lit(None).cast("string").alias("detail")
+    columns = describe_table(spark, t)
+    out = columns.select(F.lit("column").alias("what"), F.col("column").alias("name"), F.col("type").alias("detail"))
+    out = out.unionByName(columns.where("partition").select(F.lit("partition column").alias("what"), F.col("column").alias("name"), F.col("type").alias("detail")))
+    out = out.unionByName(show_partitions(spark, t).select(F.lit("partition").alias("what"), F.col("partition").alias("name"), none))
+    out = out.unionByName(show_databases(spark, db).select(F.lit("database").alias("what"), F.when(F.col("namespace") == db, "ours").alias("name"), none))
+    for what in ("table", "table made again"):
+        out = out.unionByName(show_tables(spark, db, "ord*").select(F.lit(what).alias("what"), F.col("tableName").alias("name"), none))
+    return out
+
+
+@query("sales_by_product_table", """
+SELECT p_name AS product, CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) AS total_sales
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name""")
+def sales_by_product_table(spark, sf):
+    """``SELECT product, SUM(amount) … GROUP BY product`` over a catalog table."""
+    path = scratch(spark, "sales", "lines")
+    li = load(spark, sf, "lineitem").select("l_partkey", "l_extendedprice")
+    p = load(spark, sf, "part").select("p_partkey", "p_name")
+    write_frame(li.join(p, li.l_partkey == p.p_partkey).select(F.col("p_name").alias("product"), F.col("l_extendedprice").alias("amount")), path, "parquet")
+    db = _db(spark, "sales")
+    create_external_table(spark, f"{db}.sales", "parquet", path)
+    return spark.sql(f"""SELECT product, CAST(SUM(CAST(amount AS DECIMAL(38,2))) AS DOUBLE) AS total_sales
+                         FROM {db}.sales GROUP BY product ORDER BY total_sales DESC, product""")
+
+
+@query("crawl_grown", f"""
+SELECT {', '.join(_ORDERS_COLS)}, CASE WHEN o_orderstatus = 'P' THEN o_orderkey % 7 END AS note FROM orders""")
+def crawl_grown(spark, sf):
+    """A folder that grows between crawls: first a partition more, then a column more."""
+    path = scratch(spark, "crawl", "grown")
+    o = load(spark, sf, "orders")
+    part = lambda cond, df=o: write_frame(df.where(cond), path, "parquet", mode="append", partition_by=["o_orderstatus"])
+    db = _db(spark, "crawl")
+    part("o_orderstatus = 'F'")
+    actions = [crawl(spark, f"{db}.orders", path)["action"]]
+    part("o_orderstatus = 'O' OR o_orderstatus IS NULL")
+    actions.append(crawl(spark, f"{db}.orders", path)["action"])
+    part("o_orderstatus NOT IN ('F', 'O')", o.withColumn("note", F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey") % 7)))
+    actions.append(crawl(spark, f"{db}.orders", path)["action"])
+    if actions != ["created", "updated", "updated"]:
+        raise AssertionError(actions)
+    return spark.table(f"{db}.orders").select(*_ORDERS_COLS, "note")
+
+
+@query("sink_grows_catalog", """
+SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority FROM orders""")
+def sink_grows_catalog(spark, sf):
+    """The catalog sink twice: the second write brings partitions and a column."""
+    path = scratch(spark, "sink", "grown")
+    db = _db(spark, "sink")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.col("o_orderpriority").alias("priority"))
+    even = F.col("o_orderkey") % 2 == 0
+    catalog_sink(o.where(even).drop("priority"), f"{db}.orders", path, partition_by=["o_orderstatus"])
+    t = catalog_sink(o.where(~even), f"{db}.orders", path, partition_by=["o_orderstatus"])
+    return t.select("o_orderkey", "o_totalprice", "o_orderstatus", "priority")

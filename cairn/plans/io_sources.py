@@ -12,6 +12,7 @@ from cairn.plans._registry import query
 from cairn.plans.standins import SQL_DOC_ITEMS, SQL_DOCS, events_text
 from cairn.session import load, scratch
 from cairn.sinks.files import convert_format, land_by_date, write_frame
+from cairn.sources.listing import list_tree
 from cairn.sources.files import (Source, audit_empty_files, read_csv, read_json, read_orc,
                                  read_parquet)
 
@@ -181,15 +182,20 @@ def scan_generic_source(spark, sf):
     return Source(spark).format("csv", header=True, sep=";").schema(s.schema).frame(path)
 
 
-@query("audit_empty_files")
+@query("audit_empty_files", """
+SELECT 'full/o_orderstatus=' || o_orderstatus AS folder, FALSE AS has_empty, TRUE AS has_full FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'empty', TRUE, FALSE""")
 def audit_empty_files_q(spark, sf):
-    """Zero-length objects under a prefix (CSV parts of empty partitions)."""
+    """Zero-length objects under a prefix (CSV parts of empty partitions), per folder."""
     path = scratch(spark, "audit", "orders")
     o = load(spark, sf, "orders")
-    write_frame(o, f"{path}/full", "csv", header=False)
+    write_frame(o, f"{path}/full", "csv", header=False, partition_by=["o_orderstatus"])
     write_frame(o.filter(F.lit(False)), f"{path}/empty", "csv", header=False)
-    return (audit_empty_files(spark, path, glob="*.csv")
-            .select(F.regexp_extract("path", r"/(full|empty)/", 1).alias("folder"), "length"))
+    folder = F.regexp_extract("path", r"/orders/[^/]+/(.*)/[^/]+$", 1).alias("folder")
+    files = list_tree(spark, path, glob="*.csv").select(folder, "length")
+    empty = audit_empty_files(spark, path, glob="*.csv").select(folder.alias("e")).distinct()
+    return (files.groupBy("folder").agg(F.max("length").alias("most")).join(empty, F.col("folder") == F.col("e"), "left")
+            .select("folder", F.col("e").isNotNull().alias("has_empty"), (F.col("most") > 0).alias("has_full")))
 
 
 # -- sinks --------------------------------------------------------------

@@ -93,6 +93,28 @@ def show_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {_ident(table)}")
 
 
+def show_databases(spark: SparkSession, like: str = "*") -> DataFrame:
+    """``SHOW DATABASES LIKE`` (namespace)."""
+    return spark.sql(f"SHOW DATABASES LIKE {_lit(like)}")
+
+
+def show_tables(spark: SparkSession, db: str, like: str = "*") -> DataFrame:
+    """``SHOW TABLES IN … LIKE`` (namespace, tableName, isTemporary)."""
+    return spark.sql(f"SHOW TABLES IN {_ident(db)} LIKE {_lit(like)}")
+
+
+def show_create_table(spark: SparkSession, table: str) -> str:
+    """The statement that makes the table again."""
+    return spark.sql(f"SHOW CREATE TABLE {_ident(table)}").first()[0]
+
+
+def describe_table(spark: SparkSession, table: str) -> DataFrame:
+    """(column, type, partition): the table's columns, partition columns last and marked."""
+    return spark.createDataFrame(
+        [(c.name, c.dataType, bool(c.isPartition)) for c in spark.catalog.listColumns(table)],
+        "column string, type string, partition boolean")
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop an external table; the data folder is kept."""
     spark.sql(f"DROP TABLE IF EXISTS {_ident(table)}")

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.sources.listing import list_tree
+
 
 def read_csv(spark: SparkSession, path: str | list[str], header: bool = True,
              infer: bool = False, schema: T.StructType | str | None = None,
@@ -114,22 +116,10 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
 def audit_empty_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Files of size 0 under a prefix (re-aimed from an empty-input alert).
 
-    File sources skip zero-length files (they yield no splits), so this walks
-    the prefix with the Hadoop FileSystem API — metadata only, the same kind
-    of listing Spark itself does on the driver — and returns a DataFrame.
+    File sources skip zero-length files (they yield no splits), so the tree is
+    listed by the executors (``sources.listing``).
     """
-    import fnmatch
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    it = fs.listFiles(hpath, True)
-    rows = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if st.getLen() == 0 and not name.startswith(("_", ".")) and (glob is None or fnmatch.fnmatch(name, glob)):
-            rows.append((st.getPath().toString(), int(st.getLen())))
-    return spark.createDataFrame(rows, "path string, length bigint")
+    return list_tree(spark, path, glob).where("length = 0").select("path", "length")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
