@@ -38,8 +38,11 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 #: Log costs of the channel: a sign for a letter, a letter written again, a
 #: separator inside a word, a sign that stands for itself.
 SIGN, AGAIN, BETWEEN, ITSELF = -0.5, -0.7, -0.3, -9.0
-#: Readings kept per place of a lattice; longest word decoded; words remembered.
-BEAM, LONGEST, TABLE_WORDS = 48, 40, 250_000
+#: Readings kept per place of a lattice; words remembered.
+BEAM, TABLE_WORDS = 48, 250_000
+#: Letters of a window over a longer word, and characters of a window that is
+#: decoded: windows overlap by half, so that a word half as long lies whole in one.
+LONGEST, DECODED = 40, 24
 #: Stems that a task holds before it hands them on, and texts scored at once.
 STEM_ROWS, BATCH = 150_000, 250
 #: Share of the lower order in each order's estimate.
@@ -47,19 +50,27 @@ BACKOFF = 0.3
 #: Log ratio from which a word counts as marked.
 MARKED = 4.0
 #: Word beginnings of these lengths are marked too, if at least STEM_DOCS toxic
-#: training texts have them, and STEM_RATIO times as often; the strongest STEMS.
-STEM_LENGTHS, STEM_DOCS, STEM_RATIO, STEMS = range(4, 9), 6, 12.0, 5_000
+#: training texts have them, and STEM_RATIO times as often. They come from the
+#: bounded training rows alone.
+STEM_LENGTHS, STEM_DOCS, STEM_RATIO = range(4, 9), 6, 12.0
 
 _WORD = re.compile(r"[^\W\d_]+")
-_THRICE = re.compile(r"([^\W\d_])\1\1")
+_THRICE = re.compile(r"([^\W\d_])\1\1+")
 #: a sign before a letter, or one or two that end a word
 _SIGNED = re.compile(r"[0-9@$!|+€][a-z]|[a-z][0-9@$€]{1,2}(?![\w@$!|+€])")
-_DISGUISED = re.compile(r"[a-z0-9@$!|+€.\-_*]{3,24}")
+_DISGUISED = re.compile(r"[a-z0-9@$!|+€.\-_*]{3,}")
 #: single characters apart: "i d i o t", "i.d.i.o.t"
-_SPACED = re.compile(r"(?<![\w@$!|+€])[a-z0-9@$!|+€](?:[ .\-_*]{1,2}[a-z0-9@$!|+€]){3,30}(?![\w@$|+€])")
+_SPACED = re.compile(r"(?<![\w@$!|+€])[a-z0-9@$!|+€](?:[ .\-_*]{1,2}[a-z0-9@$!|+€]){3,}(?![\w@$|+€])")
 _BETWEEN = set(" .-_*")
 
 
+def windows(word: str, size: int) -> list[str]:
+    """A word, or windows of ``size`` over a longer one, overlapping by half."""
+    if len(word) <= size:
+        return [word]
+    return [word[at:at + size] for at in range(0, len(word) - size // 2, size // 2)]
+
+
 def _class_table() -> np.ndarray:
     table = np.full(0x3000, 27, np.uint8)
     for c in range(len(table)):
@@ -157,13 +168,19 @@ class Scorer:
         """Adds the ratios of words that are new to the table, all at once."""
         words = [w for w in set().union(*counts) if w not in self.table]
         if words:
-            numbers = gram_counts("\n".join(w[:LONGEST] for w in words))
-            ends = np.cumsum([min(len(w), LONGEST) + 1 for w in words])
-            sums = np.add.reduceat(self.log_ratio[numbers], np.concatenate([[0], ends[:-1]]))
-            for w, r in zip(words, sums.tolist(), strict=True):
-                stem = any(w[:k] in self.stems for k in STEM_LENGTHS if k <= len(w))
+            # a long word is as marked as the most marked of its windows
+            parts = [windows(w, LONGEST) for w in words]
+            flat = [x for own in parts for x in own]
+            numbers = gram_counts("\n".join(flat))
+            ends = np.cumsum([len(x) + 1 for x in flat])
+            sums = np.add.reduceat(self.log_ratio[numbers], np.concatenate([[0], ends[:-1]])).tolist()
+            at = 0
+            for w, own in zip(words, parts, strict=True):
+                r = max(sums[at:at + len(own)])
+                at += len(own)
+                stem = any(x[:k] in self.stems for x in own for k in STEM_LENGTHS if k <= len(x))
                 self.table[w] = max(r, MARKED) if stem else r
-            self.thrice.update(w for w in words if _THRICE.search(w) and len(w) <= LONGEST)
+            self.thrice.update(w for w in words if _THRICE.search(w))
 
     def read_as(self, seen: str) -> str:
         if seen not in self.read:
@@ -173,7 +190,8 @@ class Scorer:
         return self.read[seen]
 
     def restored(self, text: str, words) -> set[str]:
-        """Readings of the disguised words of a lower-case text."""
+        """Readings of the disguised words of a lower-case text; a long one is
+        read window by window, letters written more than twice count as two."""
         seen = self.thrice & words
         seen.update(m.group() for m in _SPACED.finditer(text))
         if _SIGNED.search(text):
@@ -181,7 +199,8 @@ class Scorer:
                 part = part.strip(",.;:?!\"'()[]")
                 if _SIGNED.search(part) and _DISGUISED.fullmatch(part) and 3 * sum(map(str.isalpha, part)) >= len(part):
                     seen.add(part)
-        return {r for r in map(self.read_as, seen) if len(r) > 2}
+        parts = {x for s in seen for x in windows(_THRICE.sub(r"\1\1", s) if len(s) > DECODED else s, 2 * DECODED if s[1:2] in _BETWEEN else DECODED)}
+        return {r for r in map(self.read_as, parts) if len(r) > 2}
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         """Rows (mean ratio, log share of marked words, log sum of marked
@@ -311,7 +330,7 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     total = counts.reshape(3, -1, CLASSES)[:, :, 0].sum(1)  # words: closing edges
     odds = (F.col("n1") / F.lit(float(max(total[2], 1)))) / ((F.col("n0") + 1) / F.lit(float(max(total[1], 1))))
     strong = seen.where(F.col("d1") >= STEM_DOCS).withColumn("odds", odds).where(F.col("odds") >= STEM_RATIO)
-    strong = {r["stem"] for r in strong.orderBy(F.desc("d1"), "stem").limit(STEMS).collect()}
+    strong = {r["stem"] for r in strong.select("stem").collect()}
     model = docs.sparkSession.sparkContext.broadcast((counts.sum(0), counts[1], counts[2], strong))
 
     def measure(batches):
@@ -327,7 +346,13 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     train = train.groupBy("doc_id").agg(F.min(F.struct("toxic", "x0", "x1", "x2", "x3", "x4")).alias("r")).orderBy("doc_id").select("r.*").toPandas()
     y = (train["toxic"].to_numpy() != 0).astype(float)
     if 0 < y.sum() < len(y):
-        w, mean, scale = fit_logistic(train[["x0", "x1", "x2", "x3", "x4"]].to_numpy(), y)
+        x = train[["x0", "x1", "x2", "x3", "x4"]].to_numpy()
+        w, mean, scale = fit_logistic(x, y)
+        if w[5] < 0:
+            # a disguise never speaks against toxicity: keys that read like words
+            # in a few clean texts would otherwise turn its sign
+            w, mean, scale = fit_logistic(x[:, :4], y)
+            w, mean, scale = np.append(w, 0.0), np.append(mean, 0.0), np.append(scale, 1.0)
     else:
         rate = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         w, mean, scale = np.array([math.log(rate / (1 - rate)), 0, 0, 0, 0, 0.0]), np.zeros(5), np.ones(5)

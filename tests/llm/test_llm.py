@@ -313,7 +313,9 @@ def test_toxicity(spark):
 
     sf = "/root/testdata/sf0.1"
     docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
-    extra = spark.createDataFrame([(900_001, None), (900_002, ""), (900_003, "you are such an 1d10t and a w0rthl3ss c l o w n"), (None, "x")], "doc_id long, text string")
+    extra = spark.createDataFrame([(900_001, None), (900_002, ""), (900_003, "you are such an 1d10t and a w0rthl3ss c l o w n"), (None, "x"),
+                                   (900_004, "some words and " + "1d10t" * 6 + "w0rthl3ss" * 4), (900_005, "oh y o u " + "i d i o t " * 12),
+                                   (900_006, "you " + "idiot" * 30 + " and more words of it"), (900_007, "you w" + "o" * 60 + "rthless idio" + "t" * 50)], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in toxicity.score(docs.select("doc_id", "text").union(extra), labels).collect()}
     toxic = {r["doc_id"]: r["toxic"] for r in labels.collect() if toxicity.held_out(r["doc_id"])}
     hit = sum(rows[k]["predicted"] for k, y in toxic.items() if y)
@@ -321,6 +323,7 @@ def test_toxicity(spark):
     assert hit >= 0.9 * sum(toxic.values()) and false <= 0.02 * len(toxic)
     assert all(0 <= r["score"] <= 1 and r["held_out"] == toxicity.held_out(k) for k, r in rows.items())
     assert rows[900_001]["score"] == rows[900_002]["score"] < 0.3 <= rows[900_003]["score"]
+    assert all(rows[k]["score"] >= 0.3 for k in range(900_004, 900_008)), [rows[k]["score"] for k in range(900_004, 900_008)]
     few = toxicity.score(docs.limit(5), labels.where("toxic > 5"))
     assert all(r["score"] == pytest.approx(1e-6) for r in few.collect())
 
@@ -365,3 +368,49 @@ def test_pipeline_on_odd_rows(spark, docs):
     assert {r["doc_id"] for r in kept.collect()} == {5, 8}
     assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, kept, None).collect()} == {5, 8}
     assert corpus_pipeline.STAGES[-1][1](spark, empty(docs), None).count() == 0
+
+
+def test_windows_hold_every_shorter_word():
+    r = random.Random(8)
+    for _ in range(300):
+        word = "".join(r.choice("abc") for _ in range(r.randint(0, 130)))
+        own = toxicity.windows(word, 24)
+        at = r.randint(0, len(word))
+        assert any(word[at:at + 12] in x for x in own) and all(len(x) <= 24 for x in own)
+
+
+def test_decoding_matches_enumeration():
+    import itertools
+
+    r = np.random.default_rng(5)
+    model = toxicity.CharModel(r.integers(0, 50, toxicity.CLASSES ** toxicity.ORDER))
+    wrap = toxicity.CLASSES ** (toxicity.ORDER - 1)
+
+    def cost(said):
+        state, p = 0, 0.0
+        for x in [*(ord(c) - 96 for c in said), 0]:
+            p += model.log[state * toxicity.CLASSES + x]
+            state = (state * toxicity.CLASSES + x) % wrap
+        return p
+
+    def best(seen):
+        readings = {}
+        options = []
+        for ch in seen:
+            reads = [(x, toxicity.SIGN) for x in toxicity.LEET.get(ch, "")] or ([(ch, 0.0)] if ch.isalpha() else [])
+            own = [(x, c, False) for x, c in reads] + [(x, c + toxicity.AGAIN, True) for x, c in reads]
+            options.append(own + ([] if ch.isalpha() else [("", toxicity.BETWEEN if ch in " .-_*" else toxicity.ITSELF, False)]))
+        for way in itertools.product(*options):
+            said, p, ok = "", 0.0, True
+            for x, c, again in way:
+                p += c
+                if again:
+                    ok = ok and said[-1:] == x
+                else:
+                    said += x
+            if ok:
+                readings[said] = max(readings.get(said, -1e9), p)
+        return max(readings, key=lambda s: readings[s] + cost(s))
+
+    for seen in ("1d10t", "a.b.c", "@$$", "heel1o", "b44d", "c-l0wn", "t00l"):
+        assert toxicity.decode(seen, model) == best(seen)
