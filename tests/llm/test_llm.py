@@ -331,31 +331,94 @@ def test_toxicity(spark):
 def test_licenses(docs, spark):
     got = [tuple(r)[1:4] for r in license_scan.scan(docs).collect()]
     assert got == [(0, 0, "MIT")]
-    df = spark.createDataFrame([(1, "x\nLicensed under CC BY-NC 4.0.\ny\nReleased under the XYZ License today"), (2, "Licensed under the Apache License, Version 2.1."), (3, None)], "doc_id long, text string")
-    got = sorted((r["doc_id"], r["license"], r["differences"], r["wording"]) for r in license_scan.scan(df).collect())
-    assert got[0][:3] == (1, "CC-BY-NC-4.0", 0) and (2, "Apache-2.0", 2, "-0 +1") in got
-    for text in {t for _, t in license_scan.TEMPLATES}:
-        assert license_scan.identify(text)[2] == []
-
-
-GPL3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    rows = [(1, "x\nLicensed under CC BY-NC 4.0.\ny\nReleased under the XYZ License today"), (2, "Licensed under the Apache License, Version 2.1."), (3, None),
+            (None, "SPDX-License-Identifier: GPL-3.0-or-later"), (4, "Licensed under CC BY-SA 3.0."), (5, "Released under the Apache License."), (5, "Released under the Apache License."),
+            (6, license_scan.GNU.format("General Public License", "4")), (7, license_scan.GNU.format("Affero General Public License", "3").replace(";", ":")),
+            (8, "Mozilla Public License Version 2.0"), (9, "License: BSD-3-Clause"), (10, "")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, license string, wording int")
+    got = sorted(((r["doc_id"] or 0, r["license"], r["differences"]) for r in license_scan.scan(df).collect()))
+    assert got == [(0, "GPL-3.0", 0), (1, "CC-BY-NC-4.0", 0), (2, "Apache", 0), (4, "CC-BY-SA-3.0", 0), (5, "Apache", 0), (5, "Apache", 0),
+                   (6, "GPL", 0), (7, "AGPL-3.0", 0), (8, "MPL-2.0", 0), (9, "BSD-3-Clause", 0)]
+    assert license_scan.scan(empty(docs)).count() == 0
 
 
 def test_licenses_of_wrapped_notices(spark):
     import textwrap
 
-    want = [*license_scan.TEMPLATES, ("GPL-3.0", GPL3)]
+    want = [*license_scan.NOTICES, *((i, t) for i, t, _ in license_scan.TEMPLATES if t.startswith("under the terms of the") and len(t) > 40)]
+    assert len({i for i, _ in want}) >= 40
     rows = [(k, "code\n\n" + textwrap.fill(t, 72, initial_indent=" * ", subsequent_indent=" * ") + "\n\ncode") for k, (_, t) in enumerate(want)]
     got = sorted(tuple(r)[:4] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    # the GPL-3 notice goes on for a line after the template's wording
-    assert got == [(k, 2, rows[k][1].count("\n") - 2 - (k == 15), name) for k, (name, _) in enumerate(want)]
+    assert got == [(k, 2, rows[k][1].count("\n") - 2, name) for k, (name, _) in enumerate(want)]
+
+
+def plain_notices(block):
+    """Every template aligned with the whole block, without anchors."""
+    lines = block.split("\n")
+    words, at = [], []
+    for k, x in enumerate(lines):
+        own = license_scan.tokens(x)
+        words += own
+        at += [k] * len(own)
+    spans = []
+    for k, own in enumerate(license_scan._WORDS):
+        n, todo = len(own), [] if license_scan.TEMPLATES[k][2] else [(0, len(words))]
+        found = [(s, s + n) for s in range(len(words) - n + 1) if words[s:s + n] == own]
+        while todo:
+            low, high = todo.pop()
+            many, s, e = license_scan._align(own, words[low:high])
+            if many >= license_scan.WORDING * n:
+                found.append((low + s, low + e))
+                todo += [(low, low + s), (low + e, high)]
+        for s, e in set(found):
+            saved = license_scan.saving("\n".join(lines[at[s]:at[e - 1] + 1]), k)
+            diff = license_scan.wording(own, words[s:e])
+            if saved > 0 and not any(f"-{v}" in diff for v in license_scan._VERSIONS[k]):
+                spans.append((len(diff), -n, -saved, k, s, e, diff))
+    out = []
+    for d, _, saved, k, s, e, diff in sorted(spans):
+        if all(e <= x or s >= y for x, y, _ in out):
+            out.append((s, e, (at[s], at[e - 1], license_scan.TEMPLATES[k][0], -saved, diff)))
+    return [x for *_, x in sorted(out, key=lambda x: x[0])]
+
+
+def test_notices_match_alignment_without_anchors():
+    r = random.Random(12)
+    filler = words(40, 3)
+    for _ in range(12):
+        parts = []
+        for _ in range(r.randint(1, 3)):
+            own = r.choice(license_scan.NOTICES if r.random() < 0.6 else license_scan.TEMPLATES)[1].split(" ")
+            for _ in range(r.choice((0, 0, 1, 2))):
+                own[r.randrange(len(own)):][:1] = []
+                own.insert(r.randrange(len(own) + 1), r.choice(filler))
+            parts.append(" ".join(own))
+            # more words apart than an alignment bridges
+            parts.append(" ".join(r.choices(filler, k=120)))
+        block = "\n".join(parts)
+        assert license_scan.notices(block) == plain_notices(block)
+
+
+def test_a_block_of_many_notices_takes_linear_time():
+    import time
+
+    r = random.Random(1)
+    def block(n):
+        return "\n".join(r.choice(["Released under the MIT License.", "Licensed under CC BY-NC 4.0.", f"Copyright {r.random()}", r.choice(license_scan.NOTICES)[1]]) for _ in range(n))
+    assert len(license_scan.notices(block(500))) > 300
+    took = []
+    for n in (1000, 8000):
+        own, start = block(n), time.process_time()
+        license_scan.notices(own)
+        took.append(time.process_time() - start)
+    assert took[1] < 40 * took[0]
 
 
 def test_licenses_side_by_side(spark):
-    text = "Released under the MIT License.\nLicensed under CC BY-NC 4.0.\n\n" + "\n".join(t for _, t in license_scan.TEMPLATES)
+    parts = [("MIT", "Released under the MIT License."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), *license_scan.NOTICES]
+    text = "\n".join(t for _, t in parts)
     got = sorted(tuple(r)[1:4] for r in license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect())
-    assert got == [(0, 0, "MIT"), (1, 1, "CC-BY-NC-4.0")] + [(k, k, name) for k, (name, _) in enumerate(license_scan.TEMPLATES, 3)]
+    assert got == [(k, k, name) for k, (name, _) in enumerate(parts)]
 
 
 def test_pipeline_on_odd_rows(spark, docs):
