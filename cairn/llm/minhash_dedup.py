@@ -34,6 +34,8 @@ BANDS, ROWS, BITS = 40, 5, 8
 MARGIN = 0.17
 #: Signatures compared at once inside a task.
 BLOCK = 512
+#: Parts that the members of one bucket or group are dealt over in a join.
+SALTS = 32
 #: Rounds of single pairs before the groups.
 ROUNDS = 3
 #: Shingles of a block of full sets.
@@ -182,6 +184,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return map_arrow(pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "s_a", "s_b"), compare, "a long, b long")
 
 
+def _beside(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined on ``key`` with ``small``, which has few rows per key: both
+    are dealt by the key and a salt, so that a key with most of the rows is not
+    one task's."""
+    salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return salted.join(small.withColumn("_salt", F.explode(salt)), [key, "_salt"]).drop("_salt")
+
+
 def _apart(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) among members (key, id, component) of one bucket that are
     in different components, neither the bucket's smallest member, with an
@@ -192,7 +203,7 @@ def _apart(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """
     size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     size = size.where("c0 <> c1 AND n > 2").select("key", "low", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))
-    rows = members.join(size, "key").where("id <> low").withColumn("i", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    rows = _beside(members, size, "key").where("id <> low").withColumn("i", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
     # block pairs (i, j), i <= j, that a row's block belongs to
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.select("key", F.least("i", "o").alias("lo"), F.greatest("i", "o").alias("hi"), "i", "id", "component")
@@ -231,7 +242,7 @@ def _within(groups: DataFrame, linked: DataFrame, docs: DataFrame, shingle: int,
     # a pair of one star has been confirmed or refused in the first round; one
     # that was met in a bucket only joins two stars, and is still to be compared
     many = many.where("parts > 1 AND (n > 2 OR s0 <> s1)").select("group", F.negative("top.c").alias("main"))
-    nodes = stored(nodes.join(many, "group").select("id", "group", "component", (F.col("component") != F.col("main")).alias("minor")), "group-members")
+    nodes = stored(_beside(nodes, many, "group").select("id", "group", "component", (F.col("component") != F.col("main")).alias("minor")), "group-members")
 
     def to_sets(batches):
         shingles = Shingler(shingle)
@@ -244,7 +255,7 @@ def _within(groups: DataFrame, linked: DataFrame, docs: DataFrame, shingle: int,
     rows = stored(rows.select("group", "id", "component", "minor", "s", F.octet_length("s").alias("bytes")), "group-sets")
     blocks = lambda c: F.greatest(F.ceil(c / (8 * TOKENS)), F.lit(1)).cast("int")
     size = rows.groupBy("group").agg(blocks(F.sum("bytes")).alias("k"), blocks(F.sum(F.when(F.col("minor"), F.col("bytes")))).alias("m"))
-    rows = rows.join(size, "group").drop("bytes")
+    rows = _beside(rows, size, "group").drop("bytes")
     deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("j", deal("k")).withColumn("left", F.lit(False))
     minor = rows.where("minor").withColumn("i", deal("m")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("left", F.lit(True))
