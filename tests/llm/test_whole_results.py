@@ -162,3 +162,99 @@ def test_near_stage_keeps_one_row_of_each_group(spark):
     assert near >= 50
     assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(d for d in sets if find(d) == d)
     assert sum(r["doc_id"] is None for r in got) == 2
+
+
+def plain_quality(rows):
+    """The documents that the rules keep, by their SQL."""
+    import duckdb
+
+    from cairn.llm import quality_rules
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    kept = {d for (d,) in con.execute(f"SELECT doc_id FROM ({quality_rules.SQL}) WHERE kept").fetchall()}
+    return [r for r in rows if r[0] in kept]
+
+
+def plain_lines(rows):
+    gone = plain_removals(rows)
+    out = []
+    for d, t in rows:
+        left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d, t][2])
+        if not gone[d, t][2] or left.strip(BLANK):
+            out.append((d, left))
+    return out
+
+
+def plain_near(rows):
+    sets, parent = {d: shingles(t) for d, t in rows}, {d: d for d, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            x, y = sets[a], sets[b]
+            if a < b and x and y and 100 * len(x & y) >= 80 * len(x | y):
+                i, j = sorted((find(a), find(b)))
+                parent[j] = i
+    return [r for r in rows if find(r[0]) == r[0]]
+
+
+def plain_redact(rows):
+    secret = re.compile(r"""(?i:password|secret)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8,}|AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}""")
+    return [(d, secret.sub("[SECRET]", t)) for d, t in rows]
+
+
+def test_pipeline_matches_plain_stages(spark, tmp):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from cairn.llm.packing import WINDOW
+
+    r = random.Random(21)
+    shared = [" ".join(words(12, 900 + k)) for k in range(4)]
+    rows = []
+    for k in range(110):
+        own = [" ".join(words(r.randint(9, 14), 10_000 + 40 * (k // 3) + j)) for j in range(r.randint(4, 9))]
+        if k % 3 and r.random() < 0.7:  # a near copy of an earlier document
+            own[r.randrange(len(own))] += f" extra{k}"
+        if r.random() < 0.3:
+            own.insert(r.randrange(len(own)), r.choice(shared))
+        if r.random() < 0.2:
+            own.append(r.choice(["password = abcd1234efgh", "AKIA" + "ABCDEFGHIJKLMNOP", "0123456789abcdef" * 3]) + f" note{k}")
+        if k % 5 == 4:  # the words of the document before, in lines of another length, some changed
+            w = rows[-1][1].split()
+            w[r.randrange(len(w))] = f"new{k}"
+            own = [" ".join(w[at:at + 7]) for at in range(0, len(w), 7)]
+        rows.append((k, "\n".join(own)))
+    rows += [(200, "too short"), (201, rows[4][1]), (202, "same same same " * 60)]
+    text = [(d, t, "en", "s", len(t)) for d, t in rows]
+    spark.createDataFrame(text, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp}/documents.parquet")
+    want = rows
+    counts = [len(want)]
+    for stage in (plain_quality, plain_lines, plain_near, plain_redact):
+        want = stage(want)
+        counts.append(len(want))
+    assert counts[0] > counts[1] and counts[2] > counts[3] and any("[SECRET]" in t for _, t in want)
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = set()
+    for d, t in want:
+        ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        for at in range(0, len(ids), WINDOW):
+            pieces.add((d, at, len(ids[at:at + WINDOW]), zlib.crc32(ids[at:at + WINDOW].tobytes()), len(ids)))
+    got = corpus_pipeline.run(spark, tmp).collect()
+    assert sorted((x["doc_id"], x["start"], x["length"], x["ids_crc32"], x["doc_tokens"]) for x in got) == sorted(pieces)
+    by = {}
+    for x in got:
+        by.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
+    for own in by.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= WINDOW
