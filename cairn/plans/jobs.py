@@ -14,11 +14,14 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.money import avg_from_parts, cents_bigint, exact_sum, sql_avg_2dp, sql_pct_2dp, sql_sum_2dp, pct_2dp
+from cairn.functions.money import avg_from_parts, cents_bigint, exact_sum, pct_2dp, sql_avg_2dp, sql_pct_2dp, sql_sum_2dp, sum_2dp
 from cairn.incremental.bookmark import Bookmark
 from cairn.plans._registry import query
-from cairn.plans.shaping import RUN_DATE, SQL_CLEAN_ORDERS, clean_orders_frame, order_lines
-from cairn.plans.standins import FLIGHT_STATUS, SQL_STATUS, status_expr
+from cairn.operators.choice import resolve_choice, text_to_choice
+from cairn.plans.shaping import (RUN_DATE, SQL_CLEAN_ORDERS, SQL_ITEM_DISCOUNT, clean_orders_frame,
+                                 discounted_items, order_items, order_lines)
+from cairn.plans.standins import (FLIGHT_STATUS, SQL_EVENTS_TEXT, SQL_STATUS, events_text,
+                                  status_expr)
 from cairn.session import load, scratch, table_path, unique_name
 from cairn.sinks.files import write_frame
 from cairn.sinks.publish import publish, published
@@ -184,6 +187,56 @@ def clean_orders_job(spark, sf):
     return read_parquet(spark, out).select("order_id", "customer_name", "product", "amount", "order_date", "processed_date")
 
 
+@query("messy_orders_job", f"""
+SELECT event_id, event_type, CAST(amount AS DOUBLE) AS amount FROM {SQL_EVENTS_TEXT} e
+WHERE regexp_full_match(amount, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?')""")
+def messy_orders_job(spark, sf):
+    """CSV, all text → choice column → cast:double → rows with an amount → Parquet, read back."""
+    raw = scratch(spark, "messy_orders", "raw")
+    write_frame(events_text(spark, sf).select("event_id", "event_type", "amount"), raw, "csv")
+    rows = read_csv(spark, raw).withColumn("amount", text_to_choice("amount"))
+    clean = resolve_choice(rows, specs=[("amount", "cast:double")]).where(F.col("amount").isNotNull())
+    out = scratch(spark, "messy_orders", "out")
+    write_frame(clean.withColumn("event_id", F.col("event_id").try_cast("bigint")), out, "parquet")
+    return read_parquet(spark, out)
+
+
+@query("retail_job", """
+SELECT 'top dates' AS result, strftime(order_date, '%Y-%m-%d') AS key, CAST(order_count AS DOUBLE) AS value
+FROM (SELECT CAST(o_orderdate AS DATE) AS order_date, COUNT(*) AS order_count FROM orders GROUP BY 1 ORDER BY order_count DESC, order_date LIMIT 5)
+UNION ALL SELECT 'status', o_orderstatus, CAST(COUNT(*) AS DOUBLE) FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'order total', CAST(o_orderkey AS VARCHAR), CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE)
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""")
+def retail_job(spark, sf):
+    """Headerless CSV of orders and items with declared schemas → top dates, status counts, order totals."""
+    base = scratch(spark, "retail")
+    o = load(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "o_custkey", "o_orderstatus")
+    write_frame(o, f"{base}/orders", "csv", header=False)
+    write_frame(load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice"), f"{base}/items", "csv", header=False)
+    orders = read_csv(spark, f"{base}/orders", header=False,
+                      schema="order_id BIGINT, order_date TIMESTAMP_NTZ, order_customer_id BIGINT, order_status STRING")
+    items = read_csv(spark, f"{base}/items", header=False, schema="order_item_order_id BIGINT, product_id BIGINT, subtotal DOUBLE")
+    # top-N is the feature
+    dates = (orders.groupBy(F.col("order_date").cast("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "d").limit(5))
+    totals = items.groupBy("order_item_order_id").agg(sum_2dp("subtotal", scale=2).alias("total"))
+    totals = orders.join(totals, orders.order_id == totals.order_item_order_id)
+    shape = lambda result, key, value: [F.lit(result).alias("result"), key.alias("key"), value.cast("double").alias("value")]
+    return (dates.select(*shape("top dates", F.date_format("d", "yyyy-MM-dd"), F.col("n")))
+            .unionByName(orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).select(*shape("status", F.col("order_status"), F.col("n"))))
+            .unionByName(totals.select(*shape("order total", F.col("order_id").cast("string"), F.col("total")))))
+
+
+@query("item_discount_job", SQL_ITEM_DISCOUNT)
+def item_discount_job(spark, sf):
+    """CSV of order items → discount, ingestion time → CSV sink, read back."""
+    base = scratch(spark, "item_discount")
+    write_frame(order_items(spark, sf), f"{base}/raw", "csv")
+    rows = read_csv(spark, f"{base}/raw", schema=order_items(spark, sf).schema)
+    write_frame(discounted_items(rows), f"{base}/out", "csv")
+    return read_csv(spark, f"{base}/out", schema=discounted_items(rows).schema)
+
+
 _EV_COLS = "event_id, ts, user_id, event_type, value, props"
 
 

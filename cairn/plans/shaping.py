@@ -173,27 +173,38 @@ def parse_dates(spark, sf):
     return o.select("o_orderkey", parse_date(txt, "yyyy-MM-dd").alias("order_date"))
 
 
-@query("order_item_discount", f"""
+SQL_ITEM_DISCOUNT = f"""
 SELECT l_orderkey AS order_item_order_id, l_linenumber AS order_item_line,
        l_extendedprice AS order_item_subtotal,
        CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.9, 2) AS DOUBLE) AS discounted_subtotal,
        '{RUN_TS}' AS ingestion_time
-FROM lineitem""")
-def order_item_discount(spark, sf):
-    """subtotal × 0.9 rounded (exact decimal), ingestion time, product price dropped."""
-    li = load(spark, sf, "lineitem").select(
+FROM lineitem"""
+
+
+def order_items(spark, sf) -> DataFrame:
+    """Order items with their subtotal, quantity and product price."""
+    return load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_item_order_id"),
         F.col("l_linenumber").alias("order_item_line"),
         F.col("l_extendedprice").alias("order_item_subtotal"),
         F.col("l_quantity").alias("order_item_quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("order_item_product_price"))
-    return (li.withColumn("discounted_subtotal",
+
+
+def discounted_items(items: DataFrame) -> DataFrame:
+    """subtotal × 0.9 rounded (exact decimal), ingestion time, product price dropped."""
+    return (items.withColumn("discounted_subtotal",
                           F.round(F.col("order_item_subtotal").cast("decimal(18,2)")
                                   * F.lit(0.9).cast("decimal(2,1)"), 2).cast("double"))
             .withColumn("ingestion_time", F.lit(RUN_TS))
             .drop("order_item_product_price", "order_item_quantity"))
 
 
+@query("order_item_discount", SQL_ITEM_DISCOUNT)
+def order_item_discount(spark, sf):
+    return discounted_items(order_items(spark, sf))
+
+
 def order_lines(spark, sf) -> DataFrame:
     """Raw order rows: one per line item, so order ids repeat; returned lines
     carry negative amounts; amounts are text.
