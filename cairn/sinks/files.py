@@ -3,8 +3,8 @@ partition overwrite, catalog inserts, format conversion, date-foldered
 landing and JDBC.
 
 Writers never overwrite their own input (Spark refuses it); an upsert
-result goes to a new folder. Parallelism is the frame's own: ``coalesce(1)``
-(single file) is only offered for results known to be small.
+result goes to a new folder. Parallelism is the frame's own: a single file is
+only written for results whose size was checked.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.dates import date_folders
+from cairn.session import scratch
 
 
 def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -47,9 +48,22 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv", **kw) -> str:
-    """One output file (``coalesce(1)``): for small, already-aggregated results."""
-    return write_frame(df.coalesce(1), path, fmt, **kw)
+def write_single_file(df: DataFrame, path: str, fmt: str = "csv", max_bytes: int = 1 << 30, **kw) -> str:
+    """One output file, for results whose size is proven: the result is written
+    in parallel first (Parquet, below the shared scratch folder), and one task
+    copies it only if that is at most ``max_bytes``; else this raises."""
+    spark = df.sparkSession
+    staged = scratch(spark, "single-file")
+    df.write.parquet(staged)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)  # noqa: SLF001 - metadata only
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()  # noqa: SLF001
+    if size > max_bytes:
+        raise ValueError(f"a result of {size} bytes is too large for one file (at most {max_bytes})")
+    # in the order of the frame: its partitions' files, and their rows
+    rows = spark.read.schema(df.schema).parquet(staged)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    rows = rows.coalesce(1).sortWithinPartitions("__file", "__row").drop("__file", "__row")
+    return write_frame(rows, path, fmt, **kw)
 
 
 def convert_format(spark: SparkSession, src: str, src_fmt: str, dest: str,

@@ -142,6 +142,11 @@ def test_codec_single_file_and_spigot(spark, tmp):
     assert any(n.endswith(".snappy.parquet") for n in os.listdir(_local(f"{tmp}/snappy")))
     write_single_file(df, f"{tmp}/one", "csv")
     assert len([n for n in os.listdir(_local(f"{tmp}/one")) if n.endswith(".csv")]) == 1
+    write_single_file(df.orderBy(F.desc("id")), f"{tmp}/sorted", "csv")
+    assert [r.id for r in spark.read.schema("id long").option("header", True).csv(f"{tmp}/sorted").collect()] == list(range(99, -1, -1))
+    with pytest.raises(ValueError):
+        write_single_file(df, f"{tmp}/large", "csv", max_bytes=10)
+    assert not os.path.exists(_local(f"{tmp}/large"))
     out = spigot(df, f"{tmp}/spigot", fraction=0.1)
     assert out.count() == 100 and 0 < spark.read.json(f"{tmp}/spigot").count() < 100
 
