@@ -60,7 +60,8 @@ class WordIds:
     text are those of its parts between blanks and line feeds, in order.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, table_words: int = TABLE_WORDS):
+        self.table_words = table_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -111,7 +112,7 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
         split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.table) > TABLE_WORDS:
+        if len(self.table) > self.table_words:
             self.table = {"": b""}
         if new := set().union(*split).difference(self.table):
             self._learn(new)
@@ -120,8 +121,8 @@ class WordIds:
 
 
 @functools.lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _word_ids(path: str, table_words: int) -> WordIds:
+    return WordIds(path, table_words)
 
 
 def length_class(length: int) -> int:
@@ -132,14 +133,14 @@ def length_class(length: int) -> int:
 CEILING = [*range(1, FINE + 1), *range(FINE + STEP, WINDOW + 1, STEP)]
 
 
-def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False, table_words: int = TABLE_WORDS) -> DataFrame:
     """Documents cut at whole windows: doc_id, start, length, ids_crc32,
     doc_tokens, and part, class, at: the piece's number within its length
     class among those of its task. ``with_ids`` adds the ids themselves.
     """
 
     def run(batches):
-        ids_of, part, seen = _word_ids(tokenizer), TaskContext.get().partitionId(), [0] * len(CEILING)
+        ids_of, part, seen = _word_ids(tokenizer, table_words), TaskContext.get().partitionId(), [0] * len(CEILING)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "class", "at"]
         for b in batches:
             rows, cut = [], []
@@ -281,14 +282,16 @@ def pack(cut: DataFrame) -> DataFrame:
     return placed.select(*[f.name for f in other], "sequence_id", F.coalesce(F.sum("length").over(within), F.lit(0)).alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False, table_words: int = TABLE_WORDS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    ``table_words`` bounds the words a worker keeps with their ids; fewer take
+    less memory and more time, for the same rows.
 
     Cases: a null or empty text is the end id alone; a null doc_id, ties and
     repeated rows are packed like others; a text of any length is packed
     whole; an empty table gives no rows; other columns are not read.
     """
-    return pack(pieces(docs, tokenizer, with_ids))
+    return pack(pieces(docs, tokenizer, with_ids, table_words))
 
 
 @query("op7_packing")

@@ -12,6 +12,10 @@ from cairn.llm import line_dedup, minhash_dedup, packing, quality_rules, secret_
 from cairn.llm.common import stored
 from cairn.session import load
 
+#: Words with their ids that a worker keeps in packing: the executors hold what
+#: the stages before have grown to, so less is left than to op7_packing alone.
+PACK_WORDS = 200_000
+
 
 def quality(spark, docs, sf_dir):
     """Documents that pass every rule of the production policy.
@@ -75,7 +79,7 @@ def pack(spark, docs, sf_dir):
     """
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), table_words=PACK_WORDS)
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("minhash_near_dedup", near), ("secret_scan", secrets), ("packing", pack)]
