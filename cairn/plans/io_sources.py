@@ -120,11 +120,14 @@ FROM {SQL_DOCS} d LEFT JOIN (SELECT id, COUNT(*) AS n_items,
         MAX(CASE WHEN "index" = 0 THEN "items.product" END) AS first_product
      FROM {SQL_DOC_ITEMS} GROUP BY id) i ON d.doc_id = i.id""")
 def scan_json_nested(spark, sf):
-    """JSON lines with a struct and an array of structs, read back."""
+    """JSON lines with a struct and an array of structs, read back.
+
+    The lines are compressed: as plain text they were most of what the job
+    wrote. A gzip file is read by one task, so a file holds at most a million."""
     from cairn.plans.standins import nested_orders
     path = scratch(spark, "json", "orders")
     docs = nested_orders(spark, sf)
-    write_frame(docs, path, "json")
+    write_frame(docs, path, "json", compression="gzip", max_records_per_file=1_000_000)
     df = read_json(spark, path, schema=docs.schema)
     return df.select("doc_id", "order_id", F.col("customer.name").alias("customer_name"),
                      F.size("items").alias("n_items"),
