@@ -16,6 +16,8 @@ LEVELS = ("null", "int", "bigint", "decimal", "double", "string")
 _NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
 _SPELLED = r"^[+-]?[0-9]+(\.[0-9]*)?([eE][+-]?[0-9]{1,4})?$"
 _EXPONENT = r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]{1,4}$"
+#: Most numbers: canonical in either mode, and short enough to be sized by their length.
+_SHORT = r"^-?(0|[1-9][0-9]{0,17})(\.[0-9]{1,18})?$"
 MAX_DIGITS = 38
 
 
@@ -35,18 +37,23 @@ def learnt(texts: DataFrame, exact: bool = False) -> dict[int, str]:
     if exact:
         power = F.when(text.rlike("[eE]"), F.substring_index(F.translate(text, "e", "E"), "E", -1).try_cast("int")).otherwise(0)
     number = text.rlike(_SPELLED if exact else _NUMBER)
-    sized = texts.select("pos", "text", number.alias("number"), F.greatest(digits + power, F.lit(1)).alias("whole"),
-                         F.greatest(fraction - power, F.lit(0)).alias("scale"))
-    bare = (F.col("scale") == 0) & ~text.rlike("[.eE]")
+    whole, scale = F.greatest(digits + power, F.lit(1)), F.greatest(fraction - power, F.lit(0))
+    bare = (scale == 0) & ~text.rlike("[.eE]")
     level = (F.when(text.isNull() | (text == ""), 0)
-             .when(F.col("number"), F.when(bare & text.try_cast("int").isNotNull(), 1)
+             .when(number, F.when(bare & text.try_cast("int").isNotNull(), 1)
                    .when(bare & text.try_cast("bigint").isNotNull(), 2)
-                   .when(F.col("whole") + F.col("scale") <= MAX_DIGITS, 3).otherwise(5))
+                   .when(whole + scale <= MAX_DIGITS, 3).otherwise(5))
              .when(F.lit(not exact) & text.rlike(_EXPONENT), 4).otherwise(5))
-    counted = F.col("level").between(1, 3)
-    top = sized.select("pos", "whole", "scale", level.alias("level")).groupBy("pos").agg(
-        F.max("level").alias("level"), F.max(F.when(counted, F.col("whole"))).alias("whole"),
-        F.max(F.when(counted, F.col("scale"))).alias("scale"))
+    dot, sign, length = F.instr(text, "."), F.startswith(text, F.lit("-")).cast("int"), F.length(text)
+    short = F.struct(F.when(dot > 0, 3).when((length <= 9) | text.try_cast("int").isNotNull(), 1).otherwise(2).alias("level"),
+                     (F.when(dot > 0, dot - 1).otherwise(length) - sign).alias("whole"),
+                     F.when(dot > 0, length - dot).otherwise(0).alias("scale"))
+    sized = texts.select("pos", F.when(text.rlike(_SHORT), short).otherwise(
+        F.struct(level.alias("level"), whole.alias("whole"), scale.alias("scale"))).alias("of"))
+    counted = F.col("of.level").between(1, 3)
+    top = sized.groupBy("pos").agg(
+        F.max("of.level").alias("level"), F.max(F.when(counted, F.col("of.whole"))).alias("whole"),
+        F.max(F.when(counted, F.col("of.scale"))).alias("scale"))
     return {r.pos: ddl(r.level, r.whole, r.scale) for r in top.collect()}
 
 

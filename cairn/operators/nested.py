@@ -195,7 +195,7 @@ def unnest_ddb_json(df: DataFrame, col: str, attributes: dict | None = None,
     base = df.withColumn("__v", v).drop(col)
     types = _ddb_number_types(base, layout) if numbers == "exact" else {}
     cols = [F.col(_q(c)) for c in df.columns if c != col]
-    cols += _ddb_columns(F.col("__v"), layout, (), "", sep, types)
+    cols += _ddb_columns((F.col("__v"), "$"), layout, (), "", sep, types)
     return base.select(cols)
 
 
@@ -221,43 +221,65 @@ def _ddb_given(spec) -> dict:
     return {t: {"S": None, "N": None} if t == "L" else None for t in ([spec] if isinstance(spec, str) else spec)}
 
 
-def _ddb_get(v: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(v, f"$['{name}']", kind)
+def _ddb_at(v: tuple, *names: str) -> tuple:
+    """Place of a value inside another: (variant column, JSON path). A path is
+    followed in one step; a variant taken out on the way would be built anew."""
+    return v[0], v[1] + "".join(f"['{name}']" for name in names)
 
 
-def _ddb_numbers(v: Column, node: dict, at: tuple):
-    """(path, array of the number texts there) of every number in a node."""
+def _ddb_get(v: tuple, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v[0], _ddb_at(v, name)[1], kind)
+
+
+def _ddb_paths(node: dict, at: tuple):
+    """The path of every number in a node."""
+    yield from ((*at, t) for t in ("N", "NS") if t in node)
+    for name, child in (node.get("M") or {}).items():
+        yield from _ddb_paths(child, (*at, "M", name))
+    if node.get("L"):
+        yield from _ddb_paths(node["L"], (*at, "L"))
+
+
+def _ddb_numbers(v: tuple, node: dict, at: tuple, places: dict) -> list[Column]:
+    """Arrays of (pos, text) of every number in a node; a list's elements are
+    gone through once for all the numbers in them."""
+    def pos(t: str) -> int:
+        return places[(*at, t)]
+
+    out = []
     if "N" in node:
-        yield (*at, "N"), F.array(_ddb_get(v, "N", "string"))
+        out.append(F.array(_numbered(pos("N"))(_ddb_get(v, "N", "string"))))
     if "NS" in node:
-        yield (*at, "NS"), F.coalesce(_ddb_get(v, "NS", "array<string>"), F.array().cast("array<string>"))
+        out.append(F.coalesce(F.transform(_ddb_get(v, "NS", "array<string>"), _numbered(pos("NS"))), _no_numbers()))
     for name, child in (node.get("M") or {}).items():
-        yield from _ddb_numbers(_ddb_get(_ddb_get(v, "M"), name), child, (*at, "M", name))
-    if node.get("L"):
-        def within(i: int) -> Callable[[Column], Column]:
-            return lambda e: list(_ddb_numbers(e, node["L"], ()))[i][1]
+        out += _ddb_numbers(_ddb_at(v, "M", name), child, (*at, "M", name), places)
+    if node.get("L") and any(_ddb_paths(node["L"], ())):
+        each = F.transform(_ddb_get(v, "L", "array<variant>"),
+                           lambda e: F.concat(*_ddb_numbers((e, "$"), node["L"], (*at, "L"), places)))
+        out.append(F.coalesce(F.flatten(each), _no_numbers()))
+    return out
+
 
-        # the paths do not depend on the element, the texts do
-        paths = [path for path, _ in _ddb_numbers(F.lit(None).cast("variant"), node["L"], (*at, "L"))]
-        for i, path in enumerate(paths):
-            yield path, F.coalesce(F.flatten(F.transform(_ddb_get(v, "L", "array<variant>"), within(i))), F.array().cast("array<string>"))
+def _no_numbers() -> Column:
+    return F.array().cast("array<struct<pos:int,text:string>>")
 
 
 def _ddb_number_types(df: DataFrame, layout: dict) -> dict:
     """Type of the numbers at each path, folded over all items (a row per path)."""
-    found = [x for name, node in layout.items() for x in _ddb_numbers(_ddb_get(F.col("__v"), name), node, (name,))]
-    if not found:
+    paths = [p for name, node in layout.items() for p in _ddb_paths(node, (name,))]
+    if not paths:
         return {}
-    each = F.concat(*[F.transform(texts, _numbered(i)) for i, (_, texts) in enumerate(found)])
-    types = learnt(df.select(F.inline(each)), exact=True)
-    return {path: types.get(i, "STRING") for i, (path, _) in enumerate(found)}
+    places = {p: i for i, p in enumerate(paths)}
+    found = [x for name, node in layout.items() for x in _ddb_numbers((F.col("__v"), f"$['{name}']"), node, (name,), places)]
+    types = learnt(df.select(F.inline(F.concat(*found))), exact=True)
+    return {p: types.get(i, "STRING") for p, i in places.items()}
 
 
 def _numbered(i: int) -> Callable[[Column], Column]:
     return lambda t: F.struct(F.lit(i).alias("pos"), t.alias("text"))
 
 
-def _ddb_value(v: Column, node: dict, at: tuple, types: dict) -> Column:
+def _ddb_value(v: tuple, node: dict, at: tuple, types: dict) -> Column:
     """An attribute value as a typed column."""
     tags = list(node)
     scalars = [_ddb_get(v, t, "string").try_cast(types[(*at, t)]) if (*at, t) in types
@@ -269,28 +291,28 @@ def _ddb_value(v: Column, node: dict, at: tuple, types: dict) -> Column:
     if len(scalars) == len(tags):
         return F.coalesce(*[_ddb_get(v, t, "string") for t in tags])
     if tags == ["M"]:
-        inner = _ddb_get(v, "M")
-        fields = [_ddb_value(_ddb_get(inner, name), child, (*at, "M", name), types).alias(name) for name, child in node["M"].items()]
-        return F.when(inner.isNotNull(), F.struct(*fields))
+        fields = [_ddb_value(_ddb_at(v, "M", name), child, (*at, "M", name), types).alias(name) for name, child in node["M"].items()]
+        return F.when(_ddb_get(v, "M").isNotNull(), F.struct(*fields))
     if tags == ["L"]:
-        return F.transform(_ddb_get(v, "L", "array<variant>"), lambda e: _ddb_value(e, node["L"], (*at, "L"), types))
+        return F.transform(_ddb_get(v, "L", "array<variant>"), lambda e: _ddb_value((e, "$"), node["L"], (*at, "L"), types))
     if len(tags) == 1:
         if (*at, tags[0]) in types:
             kind = types[(*at, tags[0])]
             return F.transform(_ddb_get(v, tags[0], "array<string>"), lambda x: x.try_cast(kind))
         return _ddb_get(v, tags[0], DDB_SET_TAGS[tags[0]])
     text = [_ddb_get(v, t, "string") for t in tags if t in DDB_SCALAR_TAGS]
-    whole = F.when(v.isNotNull() & _ddb_get(v, "NULL").isNull(), F.to_json(v))
+    own = F.try_variant_get(v[0], v[1], "variant")
+    whole = F.when(own.isNotNull() & _ddb_get(v, "NULL").isNull(), F.to_json(own))
     return F.coalesce(*text, whole)
 
 
-def _ddb_columns(v: Column, layout: dict, at: tuple, prefix: str, sep: str, types: dict) -> list[Column]:
+def _ddb_columns(v: tuple, layout: dict, at: tuple, prefix: str, sep: str, types: dict) -> list[Column]:
     """Columns of the attributes of a map; maps inside it flatten."""
     out = []
     for name, node in layout.items():
-        own, path = _ddb_get(v, name), (*at, name)
+        own, path = _ddb_at(v, name), (*at, name)
         if list(node) == ["M"] and node["M"]:
-            out += _ddb_columns(_ddb_get(own, "M"), node["M"], (*path, "M"), f"{prefix}{name}{sep}", sep, types)
+            out += _ddb_columns(_ddb_at(own, "M"), node["M"], (*path, "M"), f"{prefix}{name}{sep}", sep, types)
         elif node:
             out.append(_ddb_value(own, node, path, types).alias(f"{prefix}{name}"))
     return out

@@ -11,7 +11,9 @@ from cairn.operators.nested import (explode_array, explode_map, relationalize, u
 from cairn.plans._registry import query
 from cairn.plans.standins import (SQL_DOC_ITEMS, SQL_DOCS, SQL_EVENTS_TEXT, events_text,
                                   nested_orders)
-from cairn.session import load
+from cairn.session import load, scratch
+from cairn.sinks.files import write_frame
+from cairn.sources.files import read_parquet
 
 
 def messy_events(spark, sf) -> DataFrame:
@@ -216,19 +218,19 @@ def ddb_orders(spark, sf) -> DataFrame:
     tag = lambda t, c: F.struct(c.alias(t))
     num = lambda c: tag("N", c.cast("string"))
     li = load(spark, sf, "lineitem")
-    item = F.struct(F.struct(
-        num(F.col("l_linenumber")).alias("line"),
-        num(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
-        tag("L", F.array(tag("S", F.col("l_returnflag")), tag("S", F.col("l_linestatus")))).alias("flags")).alias("M"))
+    item = lambda x: F.struct(F.struct(
+        num(x["l_linenumber"]).alias("line"),
+        num(x["l_quantity"].cast("decimal(18,2)")).alias("quantity"),
+        tag("L", F.array(tag("S", x["l_returnflag"]), tag("S", x["l_linestatus"]))).alias("flags")).alias("M"))
     lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", item.alias("item")))).alias("lines"))
+        "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus"))).alias("lines"))
     o = load(spark, sf, "orders")
     o = o.join(lines, o.o_orderkey == lines.l_orderkey)
     big = F.col("o_orderkey").cast("decimal(38,0)") + F.lit(9007199254740993)
     mixed = F.array(F.to_json(tag("S", F.col("o_orderstatus"))), F.to_json(num(F.col("o_custkey"))))
     text = F.concat(
         F.lit('{"id":'), F.to_json(num(big)),
-        F.lit(',"lines":'), F.to_json(tag("L", F.transform("lines", lambda x: x["item"]))),
+        F.lit(',"lines":'), F.to_json(tag("L", F.transform("lines", item))),
         F.lit(',"codes":'), F.to_json(tag("NS", F.array((F.col("o_orderkey") / 4).cast("decimal(18,2)").cast("string")))),
         F.lit(',"mixed":{"L":['), F.array_join(mixed, ","), F.lit("]}}"))
     return o.select(text.alias("item"))
@@ -243,8 +245,13 @@ SELECT CAST(o_orderkey AS BIGINT) + 9007199254740993 AS id, n_lines, CAST(line_s
        CAST(CAST(CAST(o_orderkey AS DECIMAL(18,2)) / 4 AS DECIMAL(18,2)) AS DOUBLE) AS code, o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS cust
 FROM orders JOIN l ON o_orderkey = l_orderkey""")
 def unnest_ddb_lists(spark, sf):
-    """Lists of maps become arrays of structs; numbers keep every digit."""
-    i = unnest_ddb_json(ddb_orders(spark, sf), "item")
+    """Lists of maps become arrays of structs; numbers keep every digit.
+
+    The items are written once: learning the layout, learning the numbers'
+    types and reading the values are three passes over them."""
+    path = scratch(spark, "ddb", "orders")
+    write_frame(ddb_orders(spark, sf), path, "parquet", compression="zstd")
+    i = unnest_ddb_json(read_parquet(spark, path), "item")
     total = lambda f, kind: F.aggregate(F.transform("lines", lambda x: x[f].cast(kind)), F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
     return i.select(
         "id", F.size("lines").cast("bigint").alias("n_lines"), total("line", "bigint").alias("line_sum"),
@@ -275,9 +282,6 @@ SELECT event_id, event_type, {_DOUBLE} AS amount FROM {_ET} e WHERE {_DOUBLE} IS
 def messy_orders_clean(spark, sf):
     """Messy-orders job: text → choice column → cast:double → drop NULL
     amounts → Parquet, read back from the written folder."""
-    from cairn.session import scratch
-    from cairn.sinks.files import write_frame
-    from cairn.sources.files import read_parquet
     df = resolve_choice(messy_events(spark, sf).select("event_id", "event_type", "amount"),
                         specs=[("amount", "cast:double")])
     path = scratch(spark, "messy_orders")
